@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tripstrata.fixtures import (  # noqa: E402
+    stored_trips,
     trip_file_columns,
-    trips,
     write_in_order,
     zones,
 )
@@ -57,6 +57,11 @@ def _prepare(spark: SparkSession, sf_dir: str) -> None:
     size_shuffles(spark, spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
 
 
+def trips(spark: SparkSession, sf_dir: str, part: str = "all") -> DataFrame:
+    """All trips of the given tables, read back from the table they are kept in."""
+    return read_bronze(spark, stored_trips(spark, sf_dir, part))
+
+
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_silver(trips(spark, sf_dir), zones(spark, sf_dir))
 
@@ -94,15 +99,18 @@ def trip_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trip_events_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key and JSON fields as they stand in the published text."""
-    events = to_events(trips(spark, sf_dir), TOPIC)
-    text = F.col("value").cast("string")
-    return events.select(
-        F.col("key").cast("string").alias("event_key"),
-        F.size(F.json_object_keys(text)).alias("n_fields"),
-        *(
-            F.get_json_object(text, f"$.{f.name}").cast(f.dataType).alias(f.name)
-            for f in TRIP_WIRE
-        ),
+    events = to_events(trips(spark, sf_dir), TOPIC).select(
+        F.col("key").cast("string").alias("event_key"), F.col("value").cast("string").alias("text")
+    )
+    fields = events.select(
+        "event_key",
+        F.size(F.json_object_keys("text")).alias("n_fields"),
+        F.json_tuple("text", *TRIP_WIRE.names).alias(*TRIP_WIRE.names),
+    )
+    return fields.select(
+        "event_key",
+        "n_fields",
+        *(F.col(f.name).cast(f.dataType).alias(f.name) for f in TRIP_WIRE),
     )
 
 
@@ -220,10 +228,9 @@ def gold_zone_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _published_layers(spark: SparkSession, sf_dir: str) -> Layers:
-    """Bronze written as a batch, then silver and gold refreshed from it by the job."""
+    """Silver and gold refreshed from bronze by the job."""
     root = new_folder(spark, "layers")
-    layers = Layers(root)
-    trips(spark, sf_dir).write.parquet(layers.bronze)
+    layers = Layers(root, bronze_path=stored_trips(spark, sf_dir))
     zones(spark, sf_dir).write.parquet(f"{root}/zones")
     jobs.refresh_silver_and_gold(spark, layers, f"{root}/zones")
     return layers

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from tripstrata.functions.times import ISO_SECONDS
 from tripstrata.schemas import TRIP_WIRE
+from tripstrata.sources.session import spread_small_scan
+from tripstrata.sources.workspace import new_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,12 +38,12 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with both places. Catalyst picks the join strategy from the sizes."""
+    lineitem = spread_small_scan(spark, _table(spark, sf_dir, "lineitem"), "l_orderkey")
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     return (
-        _table(spark, sf_dir, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     )
@@ -103,6 +105,19 @@ def trips(spark: SparkSession, sf_dir: str, part: str = "all") -> DataFrame:
     )
 
 
+_stored: dict[tuple[str, str, str], str] = {}
+
+
+def stored_trips(spark: SparkSession, sf_dir: str, part: str = "all") -> str:
+    """Path of the trips as a Parquet table, written once per session from all the tables."""
+    key = (spark.sparkContext.applicationId, sf_dir, part)
+    if key not in _stored:
+        path = new_folder(spark, f"trips-{part}")
+        trips(spark, sf_dir, part).write.parquet(path)
+        _stored[key] = path
+    return _stored[key]
+
+
 def trip_file_columns(wire: DataFrame) -> DataFrame:
     """Wire-shaped trips with real timestamps, as a trip file has them."""
     times = ("tpep_pickup_datetime", "tpep_dropoff_datetime")

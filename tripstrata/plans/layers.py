@@ -66,14 +66,15 @@ class Layers:
     """One set of tables below a folder. The bronze checkpoint stays beside its table."""
 
     root: str
+    bronze_path: str | None = None
 
     @property
     def bronze(self) -> str:
-        return f"{self.root}/bronze"
+        return self.bronze_path or f"{self.root}/bronze"
 
     @property
     def checkpoint(self) -> str:
-        return f"{self.root}/bronze_checkpoint"
+        return f"{self.bronze}_checkpoint"
 
     def silver(self, spark: SparkSession) -> VersionedTable:
         return VersionedTable(spark, f"{self.root}/silver", SILVER)

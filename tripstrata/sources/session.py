@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 TARGET_SHUFFLE_BYTES = 128 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 200_000
 
+# Spark's default for spark.sql.files.openCostInBytes.
+SMALLEST_SPLIT_BYTES = 4 * 1024 * 1024
+
 # Parquet is compressed and columnar; rows on their way through a shuffle take more.
 SHUFFLE_GROWTH = 3
 
@@ -81,6 +84,18 @@ def scan_bytes(scan: DataFrame) -> int:
     return int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def spread_small_scan(spark: SparkSession, scan: DataFrame, key: str) -> DataFrame:
+    """Spread a scan over all cores where it is too small to be split that far.
+
+    Spark makes no split below ``SMALLEST_SPLIT_BYTES``, so a small file is read, and all
+    that follows is computed, by a few tasks. A larger scan is left as it is.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    if scan_bytes(scan) < cores * SMALLEST_SPLIT_BYTES:
+        return scan.repartition(cores, key)
+    return scan
+
+
 def size_shuffles(spark: SparkSession, scan: DataFrame) -> int:
     """Let shuffles start with enough partitions for ``scan``; returns their number.
 
