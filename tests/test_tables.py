@@ -1,0 +1,90 @@
+"""Full-refresh tables and the commit log."""
+
+import pytest
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import functions as F
+
+from tripstrata.operators.ranking import latest_commits
+from tripstrata.schemas import COMMIT_LOG, GOLD
+from tripstrata.sources.tables import VersionedTable, replace_table
+
+
+def gold(spark, *names):
+    return spark.createDataFrame([(n, 1.0, 2.0) for n in names], GOLD)
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    return VersionedTable(spark, f"{tmp_path}/gold", GOLD, ["pickup_zone"])
+
+
+def names(table):
+    return sorted(r.pickup_zone for r in table.read().collect())
+
+
+def test_readers_see_the_latest_version(spark, table):
+    assert not table.exists() and table.history().schema == COMMIT_LOG
+    with pytest.raises(LookupError):
+        table.read()
+    assert table.publish(gold(spark, "A", "B")) == 2
+    before = table.read()
+    assert table.publish(gold(spark, "C")) == 1
+    assert names(table) == ["C"]
+    assert before.count() == 2
+
+
+def test_a_table_can_be_rebuilt_from_itself(spark, table):
+    table.publish(gold(spark, "A", "B"))
+    table.publish(table.read().filter("pickup_zone = 'A'"))
+    assert names(table) == ["A"]
+
+
+def test_history(spark, table):
+    for n in range(7):
+        table.publish(gold(spark, *"ABCDEFG"[: n + 1]))
+    history = table.history().orderBy("sequence").collect()
+    assert [(r.sequence, r.operation, r.n_rows) for r in history] == [
+        (n + 1, "overwrite", n + 1) for n in range(7)
+    ]
+    assert len({r.snapshot_id for r in history}) == 7 and min(r.snapshot_id for r in history) > 0
+    latest = latest_commits(table.history()).collect()
+    assert [r.snapshot_id for r in latest] == [r.snapshot_id for r in history[:1:-1]]
+    assert latest_commits(table.history()).columns == ["snapshot_id", "committed_at", "operation"]
+
+
+def test_a_failed_write_leaves_the_old_version(spark, table):
+    table.publish(gold(spark, "A"))
+    broken = gold(spark, "B").withColumn(
+        "avg_speed_kmh", F.when(F.rand() < 2, F.raise_error(F.lit("lost"))).cast("double")
+    )
+    with pytest.raises(PySparkException):
+        table.publish(broken)
+    assert names(table) == ["A"] and table.history().count() == 1
+
+
+def test_no_rows(spark, table):
+    assert table.publish(gold(spark).filter("max_speed_kmh > 0")) == 0
+    assert table.publish(gold(spark, "A").filter(F.col("pickup_zone") == F.rand().cast("string"))) == 0
+    assert names(table) == []
+
+
+def test_partition_names_come_back_as_they_were(spark, table):
+    odd = ["12", "034", "a/b", "x=y", "Ünï", " ", "", "__HIVE", "2025-01-01", "null"]
+    table.publish(gold(spark, *odd))
+    assert table.read().schema.names == GOLD.names
+    assert table.read().schema["pickup_zone"].dataType == GOLD["pickup_zone"].dataType
+    assert names(table) == sorted(odd)
+
+
+def test_reading_one_zone_reads_one_partition(spark, table):
+    table.publish(gold(spark, "A", "B", "C"))
+    one = table.read().filter(F.col("pickup_zone") == "B")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(coalesce(pickup_zone" in plan
+    assert one.count() == 1
+
+
+def test_replacing_needs_a_catalog_that_can(spark):
+    with pytest.raises(AnalysisException) as error:
+        replace_table(gold(spark, "A"), "default.gold", "parquet", ["pickup_zone"])
+    assert error.value.getCondition() == "UNSUPPORTED_FEATURE.TABLE_OPERATION"
