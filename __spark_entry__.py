@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tripstrata.fixtures import (  # noqa: E402
+    stored,
     stored_trips,
     trip_file_columns,
     write_in_order,
@@ -33,7 +34,7 @@ from tripstrata.plans import jobs  # noqa: E402
 from tripstrata.plans.layers import Layers, build_gold, build_silver  # noqa: E402
 from tripstrata.schemas import TRIP_KEY, TRIP_REST, TRIP_WIRE  # noqa: E402
 from tripstrata.sources.lookups import read_trips, read_zones, to_wire  # noqa: E402
-from tripstrata.sources.session import size_shuffles, use_utc  # noqa: E402
+from tripstrata.sources.session import size_for, use_utc  # noqa: E402
 from tripstrata.sources.topic import read_topic, stream_topic, to_events, write_topic  # noqa: E402
 from tripstrata.sources.workspace import new_folder  # noqa: E402
 from tripstrata.streaming.bronze import (  # noqa: E402
@@ -54,7 +55,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _prepare(spark: SparkSession, sf_dir: str) -> None:
     use_utc(spark)
-    size_shuffles(spark, spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    size_for(spark, spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
 
 
 def trips(spark: SparkSession, sf_dir: str, part: str = "all") -> DataFrame:
@@ -125,11 +126,15 @@ def _publish(spark: SparkSession, sf_dir: str, folder: str, part: str = "all") -
     write_topic(to_events(trips(spark, sf_dir, part), TOPIC), folder)
 
 
+def _events(spark: SparkSession, sf_dir: str, **options: str) -> DataFrame:
+    """Stream over the topic that holds all trips."""
+    topic = stored(spark, sf_dir, "topic", lambda path: _publish(spark, sf_dir, path))
+    return stream_topic(spark, topic, TOPIC, options=options)
+
+
 def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = new_folder(spark, "stream")
-    layers, topic = Layers(root), f"{root}/topic"
-    _publish(spark, sf_dir, topic)
-    events = stream_topic(spark, topic, TOPIC, options={"maxFilesPerTrigger": "64"})
+    layers = Layers(new_folder(spark, "stream"))
+    events = _events(spark, sf_dir, maxFilesPerTrigger="64")
     ingest_available(events, layers.checkpoint, path=layers.bronze)
     return read_bronze(spark, layers.bronze)
 
@@ -148,15 +153,9 @@ def bronze_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_inflight(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-vendor counts over the files bronze had while its stream was running."""
-    root = new_folder(spark, "inflight")
-    layers, topic = Layers(root), f"{root}/topic"
-    _publish(spark, sf_dir, topic)
-    query = start_bronze(
-        stream_topic(spark, topic, TOPIC),
-        layers.checkpoint,
-        path=layers.bronze,
-        trigger="1 second",
-    )
+    layers = Layers(new_folder(spark, "inflight"))
+    events = _events(spark, sf_dir)
+    query = start_bronze(events, layers.checkpoint, path=layers.bronze, trigger="1 second")
     try:
         query.processAllAvailable()
         running = read_bronze(spark, layers.bronze)
@@ -168,12 +167,16 @@ def bronze_inflight(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns of the declared bronze table, and how many ingested rows fill each."""
     root = new_folder(spark, "declared")
-    name = f"{root.rsplit('/', 1)[-1].replace('-', '_')}.bronze"
-    topic = f"{root}/topic"
-    create_bronze_table(spark, name, location=root)
-    _publish(spark, sf_dir, topic)
-    ingest_available(stream_topic(spark, topic, TOPIC), f"{root}/checkpoint", table=name)
-    return column_fill(spark.table(name))
+    database = root.rsplit("/", 1)[-1].replace("-", "_")
+    create_bronze_table(spark, f"{database}.bronze", location=root)
+    ingest_available(
+        _events(spark, sf_dir), f"{root}/bronze_checkpoint", table=f"{database}.bronze"
+    )
+    report = column_fill(spark.table(f"{database}.bronze"))
+    # The catalog forgets the table; its files stay for the report.
+    spark.sql(f"DROP TABLE {database}.bronze")
+    spark.sql(f"DROP DATABASE {database}")
+    return report
 
 
 # Silver
@@ -293,7 +296,9 @@ def adhoc_sql_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _trip_file(spark: SparkSession, sf_dir: str) -> str:
-    return write_in_order(trips(spark, sf_dir), new_folder(spark, "replay"))
+    """The trips as a file in a known order."""
+    rows = trips(spark, sf_dir)
+    return stored(spark, sf_dir, "trip-file", lambda path: write_in_order(rows, path))
 
 
 _REPLAY_COLUMNS = [

@@ -153,6 +153,7 @@ def test_trip_sample(spark):
     sample = trip_sample(rows, 3)
     assert sample.columns == SAMPLE_COLUMNS
     assert [r.VendorID for r in sample.collect()] == [0, 1, 2]
+    assert trip_sample(rows, 3, repeatable=False).count() == 3
 
 
 def test_guards(spark, tmp_path):
@@ -183,7 +184,7 @@ def test_file_order_is_exact_over_many_files(spark, trip_files):
 
 
 def test_file_order_without_a_broadcast(spark, trip_files, monkeypatch):
-    monkeypatch.setattr("tripstrata.operators.replay.MAX_BROADCAST_FILES", 0)
+    monkeypatch.setattr("tripstrata.operators.replay.MAX_BROADCAST_BYTES", 0)
     rows = in_file_order(spark, trip_files).collect()
     assert sorted((r.VendorID, r.ordinal) for r in rows) == [(n, n + 1) for n in range(100)]
 

@@ -22,6 +22,9 @@ def test_every_query_has_a_twin():
 @pytest.mark.parametrize("name", list(registry.queries()))
 def test_query_matches_its_twin(spark, oracle, name):
     actual = registry.queries()[name](spark, SF_DIR)
+    plan = actual._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert unwanted not in plan
     assert assert_same(actual, oracle, registry.oracle_sql()[name]) > 0
 
 

@@ -7,12 +7,14 @@ from tripstrata.sources.session import (
     MAX_SHUFFLE_PARTITIONS,
     build_session,
     object_store_settings,
+    scan_split_bytes_for,
     shuffle_partitions_for,
-    size_shuffles,
+    size_for,
     spread_small_scan,
 )
 
 STORE = ("lake", "http://catalog", "s3://bucket/", "http://store")
+SPLIT = "spark.sql.files.maxPartitionBytes"
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -39,21 +41,32 @@ def test_session_is_shared_and_in_utc(spark):
 def test_shuffle_partitions_grow_with_the_input():
     assert shuffle_partitions_for(0) == 1
     assert shuffle_partitions_for(10 * 1024**3) == 240
-    assert shuffle_partitions_for(10 * 1024**5) == MAX_SHUFFLE_PARTITIONS
+    assert shuffle_partitions_for(100 * 1024**4) == MAX_SHUFFLE_PARTITIONS
+
+
+def test_scan_tasks_are_bounded():
+    assert scan_split_bytes_for(10 * 1024**3) == 128 * 1024**2
+    assert scan_split_bytes_for(100 * 10**12) == 10**9
 
 
 def test_shuffles_are_only_ever_enlarged(spark, tmp_path, monkeypatch):
     spark.range(1000).write.parquet(f"{tmp_path}/t")
     scan = spark.read.parquet(f"{tmp_path}/t")
-    assert size_shuffles(spark, scan) == 8
+    before = spark.conf.get(SPLIT)
+    assert size_for(spark, scan) == 8
     assert spark.conf.get(INITIAL, None) is None
+    assert spark.conf.get(SPLIT) == before
     monkeypatch.setattr("tripstrata.sources.session.scan_bytes", lambda frame: 10 * 1024**3)
     try:
-        assert size_shuffles(spark, scan) == 240
+        assert size_for(spark, scan) == 240
+        monkeypatch.setattr("tripstrata.sources.session.scan_bytes", lambda frame: 10**14)
+        assert size_for(spark, scan) == MAX_SHUFFLE_PARTITIONS
+        assert spark.conf.get(SPLIT) == "1000000000"
         monkeypatch.undo()
-        assert size_shuffles(spark, scan) == 240
+        assert size_for(spark, scan) == MAX_SHUFFLE_PARTITIONS
     finally:
         spark.conf.unset(INITIAL)
+        spark.conf.unset(SPLIT)
 
 
 def test_only_a_small_scan_is_spread(spark, tmp_path, monkeypatch):

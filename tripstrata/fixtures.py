@@ -7,6 +7,8 @@ distances, unknown zones, two zones of one name and exact copies are worked in.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,23 +110,28 @@ def trips(spark: SparkSession, sf_dir: str, part: str = "all") -> DataFrame:
 _stored: dict[tuple[str, str, str], str] = {}
 
 
-def stored_trips(spark: SparkSession, sf_dir: str, part: str = "all") -> str:
-    """Path of the trips as a Parquet table, written once per session from all the tables."""
-    key = (spark.sparkContext.applicationId, sf_dir, part)
+def stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """Path of a data set that ``write`` derives from all the tables, once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
-        path = new_folder(spark, f"trips-{part}")
-        trips(spark, sf_dir, part).write.parquet(path)
+        path = new_folder(spark, name)
+        write(path)
         _stored[key] = path
     return _stored[key]
 
 
+def stored_trips(spark: SparkSession, sf_dir: str, part: str = "all") -> str:
+    """Path of the trips as a Parquet table."""
+    return stored(spark, sf_dir, f"trips-{part}", trips(spark, sf_dir, part).write.parquet)
+
+
 def trip_file_columns(wire: DataFrame) -> DataFrame:
     """Wire-shaped trips with real timestamps, as a trip file has them."""
     times = ("tpep_pickup_datetime", "tpep_dropoff_datetime")
     return wire.withColumns({name: F.try_to_timestamp(name) for name in times})
 
 
-def write_in_order(rows: DataFrame, path: str) -> str:
+def write_in_order(rows: DataFrame, path: str) -> None:
     """Write rows to Parquet so that reading files and rows in order gives them sorted.
 
     The range partitions also split on a random salt: equal rows may sit in any order,
@@ -139,4 +146,3 @@ def write_in_order(rows: DataFrame, path: str) -> str:
         .drop("_salt")
         .write.parquet(path)
     )
-    return path

@@ -1,4 +1,4 @@
-"""Top-k reports and samples. Each runs as a per-task top-k, never as a full sort."""
+"""Top-k reports and samples. What is ordered runs as a per-task top-k, never as a full sort."""
 
 from __future__ import annotations
 
@@ -28,6 +28,7 @@ def latest_commits(history: DataFrame, n: int = 5) -> DataFrame:
     )
 
 
-def trip_sample(bronze: DataFrame, n: int = 10) -> DataFrame:
-    """First ``n`` trips in a fixed order, so a sample can be repeated."""
-    return bronze.select(*SAMPLE_COLUMNS).orderBy(*SAMPLE_COLUMNS).limit(n)
+def trip_sample(bronze: DataFrame, n: int = 10, repeatable: bool = True) -> DataFrame:
+    """``n`` trips: the first in a fixed order, or any, which reads no more than it needs."""
+    columns = bronze.select(*SAMPLE_COLUMNS)
+    return (columns.orderBy(*SAMPLE_COLUMNS) if repeatable else columns).limit(n)

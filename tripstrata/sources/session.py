@@ -9,7 +9,15 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 TARGET_SHUFFLE_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 200_000
+
+# The driver keeps a size for every pair of scan task and shuffle partition, and each pair
+# is one piece to fetch, so neither number may grow without end. Beyond these the pieces
+# get larger instead, and Spark sorts them by spilling.
+MAX_SHUFFLE_PARTITIONS = 50_000
+MAX_SCAN_TASKS = 100_000
+
+# Spark's default for spark.sql.files.maxPartitionBytes.
+DEFAULT_SCAN_SPLIT_BYTES = 128 * 1024 * 1024
 
 # Spark's default for spark.sql.files.openCostInBytes.
 SMALLEST_SPLIT_BYTES = 4 * 1024 * 1024
@@ -96,16 +104,25 @@ def spread_small_scan(spark: SparkSession, scan: DataFrame, key: str) -> DataFra
     return scan
 
 
-def size_shuffles(spark: SparkSession, scan: DataFrame) -> int:
-    """Let shuffles start with enough partitions for ``scan``; returns their number.
+def scan_split_bytes_for(input_bytes: int) -> int:
+    """Size of a scan task's input that keeps their number below ``MAX_SCAN_TASKS``."""
+    return max(DEFAULT_SCAN_SPLIT_BYTES, math.ceil(input_bytes / MAX_SCAN_TASKS))
+
+
+def size_for(spark: SparkSession, scan: DataFrame) -> int:
+    """Fit the session's scans and shuffles to the size of ``scan``.
 
-    Adaptive execution joins small partitions afterwards but cannot add any, and the
-    default of 200 would put 100 TB into pieces no executor can hold. The number is
-    only ever raised.
+    Returns the number of partitions shuffles start with. Adaptive execution joins small
+    ones afterwards but cannot add any, and the default of 200 would put 100 TB into
+    pieces no executor can hold. The number is only ever raised.
     """
+    input_bytes = scan_bytes(scan)
+    split = scan_split_bytes_for(input_bytes)
+    if split > DEFAULT_SCAN_SPLIT_BYTES:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
     name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     current = int(spark.conf.get(name, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = shuffle_partitions_for(scan_bytes(scan))
+    wanted = shuffle_partitions_for(input_bytes)
     if wanted > current:
         spark.conf.set(name, str(wanted))
     return max(wanted, current)
