@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tripstrata.operators.ranking import latest_commits
 from tripstrata.schemas import COMMIT_LOG, GOLD
-from tripstrata.sources.tables import VersionedTable, replace_table
+from tripstrata.sources.tables import CatalogTable, VersionedTable
 
 
 def gold(spark, *names):
@@ -85,6 +85,8 @@ def test_reading_one_zone_reads_one_partition(spark, table):
 
 
 def test_replacing_needs_a_catalog_that_can(spark):
+    table = CatalogTable(spark, "default.gold", GOLD, "parquet", ["pickup_zone"])
+    assert not table.exists()
     with pytest.raises(AnalysisException) as error:
-        replace_table(gold(spark, "A"), "default.gold", "parquet", ["pickup_zone"])
+        table.publish(gold(spark, "A"))
     assert error.value.getCondition() == "UNSUPPORTED_FEATURE.TABLE_OPERATION"

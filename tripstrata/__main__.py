@@ -5,59 +5,112 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.sql import SparkSession
+
 from tripstrata.operators.guards import MissingInput
 from tripstrata.plans import jobs
-from tripstrata.plans.layers import Layers
-from tripstrata.sources.session import build_session
-from tripstrata.streaming.bronze import run_until_stopped
+from tripstrata.plans.layers import CatalogLayers, Layers
+from tripstrata.sources.session import build_session, object_store_settings
+from tripstrata.streaming.bronze import ingest_progress, run_until_stopped
+from tripstrata.streaming.replay import run_to_end
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tripstrata")
-    parser.add_argument("--root", required=True, help="folder of the layer tables")
+    kept = parser.add_mutually_exclusive_group(required=True)
+    kept.add_argument("--root", help="folder of the layer tables")
+    kept.add_argument("--database", help="catalog database of the layer tables: lake.trips")
+    parser.add_argument("--checkpoint", help="with --database: folder of the bronze checkpoint")
+    parser.add_argument("--table-format", default="iceberg", help="with --database")
+    store = parser.add_argument_group("object store", "with --database; needs credentials")
+    for option in ("catalog-uri", "warehouse", "endpoint"):
+        store.add_argument(f"--{option}")
     job = parser.add_subparsers(dest="job", required=True)
 
     publish = job.add_parser("publish", help="publish a trip file as events")
     publish.add_argument("--data", required=True)
+    replay = job.add_parser("replay", help="publish a trip file at a steady rate")
+    replay.add_argument("--data", required=True)
+    replay.add_argument("--staging", required=True, help="folder for the cut file and progress")
+    replay.add_argument("--rate", type=float, default=5.0, help="events per second")
+    replay.add_argument("--passes", type=int, default=1)
+    replay.add_argument("--trigger-seconds", type=int, default=10)
     bronze = job.add_parser("bronze", help="stream events into bronze")
     bronze.add_argument("--available-now", action="store_true", help="end when all is taken")
-    for topic_job in (publish, bronze):
+    for topic_job in (publish, replay, bronze):
         topic_job.add_argument("--topic", default=jobs.TOPIC)
         topic_job.add_argument("--location", required=True, help="topic folder or Kafka brokers")
         topic_job.add_argument("--format", default="parquet", help="parquet or kafka")
+    for topic_job in (publish, bronze):
+        topic_job.add_argument("--option", action="append", default=[], metavar="NAME=VALUE")
 
     refresh = job.add_parser("silver-gold", help="rebuild silver and gold")
     refresh.add_argument("--zones", required=True)
     job.add_parser("stats", help="print statistics")
     sql = job.add_parser("sql", help="run SQL over bronze, silver and gold")
     sql.add_argument("text")
-    return parser.parse_args(argv)
+    args = parser.parse_args(argv)
+    if args.database and not args.checkpoint:
+        parser.error("--database needs --checkpoint")
+    return args
+
+
+def _layers(args: argparse.Namespace) -> jobs.AnyLayers:
+    if args.root:
+        return Layers(args.root)
+    return CatalogLayers(args.database, args.checkpoint, args.table_format)
+
+
+def _settings(args: argparse.Namespace) -> dict[str, str]:
+    if not args.catalog_uri:
+        return {}
+    catalog = args.database.split(".")[0]
+    return object_store_settings(catalog, args.catalog_uri, args.warehouse, args.endpoint)
+
+
+def _run(args: argparse.Namespace, spark: SparkSession) -> None:
+    layers = _layers(args)
+    options = dict(option.split("=", 1) for option in getattr(args, "option", []))
+    if args.job == "publish":
+        jobs.publish_trips(spark, args.data, args.location, args.topic, args.format, options)
+    elif args.job == "replay":
+        query = jobs.start_paced_replay(
+            spark,
+            args.data,
+            args.staging,
+            args.location,
+            args.topic,
+            args.format,
+            args.rate,
+            args.passes,
+            args.trigger_seconds,
+        )
+        run_to_end(query)
+        for batch in ingest_progress(query):
+            print(batch)
+    elif args.job == "bronze":
+        trigger = None if args.available_now else jobs.TRIGGER
+        query = jobs.start_bronze_job(
+            spark, layers, args.location, args.topic, args.format, options, trigger
+        )
+        run_until_stopped(query)
+    elif args.job == "silver-gold":
+        for layer, n in jobs.refresh_silver_and_gold(spark, layers, args.zones).items():
+            print(f"{layer}: {n} rows")
+    elif args.job == "stats":
+        for name, report in jobs.statistics(spark, layers).items():
+            print(name)
+            report.show(truncate=False)
+    else:
+        jobs.register_layers(spark, layers)
+        jobs.run_sql(spark, args.text).show(truncate=False)
 
 
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
-    spark = build_session()
-    layers = Layers(args.root)
+    spark = build_session(settings=_settings(args))
     try:
-        if args.job == "publish":
-            jobs.publish_trips(spark, args.data, args.location, args.topic, args.format)
-        elif args.job == "bronze":
-            trigger = None if args.available_now else jobs.TRIGGER
-            run_until_stopped(
-                jobs.start_bronze_job(
-                    spark, layers, args.location, args.topic, args.format, trigger=trigger
-                )
-            )
-        elif args.job == "silver-gold":
-            for layer, n in jobs.refresh_silver_and_gold(spark, layers, args.zones).items():
-                print(f"{layer}: {n} rows")
-        elif args.job == "stats":
-            for name, report in jobs.statistics(spark, layers).items():
-                print(name)
-                report.show(truncate=False)
-        else:
-            jobs.register_layers(spark, layers)
-            jobs.run_sql(spark, args.text).show(truncate=False)
+        _run(args, spark)
     except MissingInput as problem:
         sys.exit(str(problem))
 

@@ -22,7 +22,7 @@ def top_zones(gold: DataFrame, n: int = 10) -> DataFrame:
 
 def latest_commits(history: DataFrame, n: int = 5) -> DataFrame:
     return (
-        history.orderBy(F.col("committed_at").desc(), F.col("sequence").desc())
+        history.orderBy(F.col("committed_at").desc(), "snapshot_id")
         .limit(n)
         .select("snapshot_id", "committed_at", "operation")
     )

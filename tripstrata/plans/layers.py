@@ -18,7 +18,8 @@ from tripstrata.operators.cleaning import (
 from tripstrata.operators.dedup import one_per_key
 from tripstrata.operators.enrich import with_zones
 from tripstrata.schemas import GOLD, SILVER, TRIP_KEY, TRIP_REST
-from tripstrata.sources.tables import VersionedTable
+from tripstrata.sources.tables import CatalogTable, VersionedTable
+from tripstrata.streaming.bronze import create_bronze_table, read_bronze
 
 # The wire or derived field behind every published silver column.
 _SILVER_FROM = {
@@ -76,8 +77,41 @@ class Layers:
     def checkpoint(self) -> str:
         return f"{self.bronze}_checkpoint"
 
+    def prepare(self, spark: SparkSession) -> None:
+        """Folders need no declaration."""
+
+    def bronze_sink(self) -> dict[str, str]:
+        return {"path": self.bronze}
+
+    def read_bronze(self, spark: SparkSession) -> DataFrame:
+        return read_bronze(spark, self.bronze)
+
     def silver(self, spark: SparkSession) -> VersionedTable:
         return VersionedTable(spark, f"{self.root}/silver", SILVER)
 
     def gold(self, spark: SparkSession) -> VersionedTable:
         return VersionedTable(spark, f"{self.root}/gold", GOLD, ["pickup_zone"])
+
+
+@dataclass(frozen=True)
+class CatalogLayers:
+    """One set of tables in a catalog database, such as ``lake.trips``."""
+
+    database: str
+    checkpoint: str
+    fmt: str = "iceberg"
+
+    def prepare(self, spark: SparkSession) -> None:
+        create_bronze_table(spark, f"{self.database}.bronze", self.fmt)
+
+    def bronze_sink(self) -> dict[str, str]:
+        return {"table": f"{self.database}.bronze", "fmt": self.fmt}
+
+    def read_bronze(self, spark: SparkSession) -> DataFrame:
+        return spark.table(f"{self.database}.bronze")
+
+    def silver(self, spark: SparkSession) -> CatalogTable:
+        return CatalogTable(spark, f"{self.database}.silver", SILVER, self.fmt)
+
+    def gold(self, spark: SparkSession) -> CatalogTable:
+        return CatalogTable(spark, f"{self.database}.gold", GOLD, self.fmt, ["pickup_zone"])

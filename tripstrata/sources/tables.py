@@ -1,9 +1,9 @@
 """Full-refresh tables.
 
-With a catalog that can replace tables (Iceberg), ``replace_table`` does it in one step.
-Elsewhere ``VersionedTable`` writes every refresh into a folder of its own and commits it
-by adding one row to a commit log, so readers see the old version or the new one, and a
-failed write changes nothing.
+``CatalogTable`` is for a catalog that can replace tables in one step and keeps their
+history, as Iceberg does. Elsewhere ``VersionedTable`` writes every refresh into a folder
+of its own and commits it by adding one row to a commit log, so readers see the old version
+or the new one, and a failed write changes nothing. Both are used alike.
 """
 
 from __future__ import annotations
@@ -18,12 +18,45 @@ from pyspark.sql.types import StringType, StructType
 from tripstrata.schemas import COMMIT_LOG
 
 
-def replace_table(rows: DataFrame, name: str, fmt: str, partition_by: list[str] | None = None) -> None:
-    """Create or replace a catalog table in one transaction."""
-    writer = rows.writeTo(name).using(fmt)
-    if partition_by:
-        writer = writer.partitionedBy(*(F.col(c) for c in partition_by))
-    writer.createOrReplace()
+def _counted(rows: DataFrame) -> tuple[DataFrame, Observation]:
+    """Rows that are counted while they are written, so the plan runs once."""
+    n_rows = Observation()
+    return rows.observe(n_rows, F.count(F.lit(1)).alias("n_rows")), n_rows
+
+
+class CatalogTable:
+    def __init__(
+        self,
+        spark: SparkSession,
+        name: str,
+        schema: StructType,
+        fmt: str = "iceberg",
+        partition_by: list[str] | None = None,
+    ) -> None:
+        self.spark = spark
+        self.name = name
+        self.schema = schema
+        self.fmt = fmt
+        self.partition_by = partition_by or []
+
+    def history(self) -> DataFrame:
+        snapshots = self.spark.table(f"{self.name}.snapshots")
+        return snapshots.select("snapshot_id", "committed_at", "operation")
+
+    def exists(self) -> bool:
+        return self.spark.catalog.tableExists(self.name)
+
+    def publish(self, rows: DataFrame) -> int:
+        """Create or replace the table in one transaction; returns the rows written."""
+        counted, n_rows = _counted(rows.select(*self.schema.names))
+        writer = counted.writeTo(self.name).using(self.fmt)
+        if self.partition_by:
+            writer = writer.partitionedBy(*(F.col(c) for c in self.partition_by))
+        writer.createOrReplace()
+        return int(n_rows.get["n_rows"])
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
 
 
 class VersionedTable:
@@ -55,20 +88,12 @@ class VersionedTable:
         return self.latest() is not None
 
     def publish(self, rows: DataFrame, operation: str = "overwrite") -> int:
-        """Write all rows as the next version and commit it; returns their number.
-
-        The rows are counted while they are written, so the plan runs once.
-        """
+        """Write all rows as the next version and commit it; returns their number."""
         last = self.latest()
         folder = uuid.uuid4().hex
-        counted = Observation()
-        (
-            rows.select(*self.schema.names)
-            .observe(counted, F.count(F.lit(1)).alias("n_rows"))
-            .write.partitionBy(*self.partition_by)
-            .parquet(f"{self.root}/{folder}")
-        )
-        n_rows = int(counted.get["n_rows"])
+        counted, observed = _counted(rows.select(*self.schema.names))
+        counted.write.partitionBy(*self.partition_by).parquet(f"{self.root}/{folder}")
+        n_rows = int(observed.get["n_rows"])
         self._commit(folder, operation, last.sequence + 1 if last else 1, n_rows)
         return n_rows
 
