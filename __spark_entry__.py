@@ -45,6 +45,15 @@ from tripstrata.streaming.bronze import (  # noqa: E402
     start_bronze,
 )
 
+try:
+    import corpus_pipeline
+    from tripstrata.llm import queries as corpus_queries
+except ModuleNotFoundError as error:
+    # Both are optional and go together; anything else that is missing is a fault.
+    if not (error.name or "").startswith(("corpus_pipeline", "tripstrata.llm")):
+        raise
+    corpus_pipeline = corpus_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 TOPIC = "trips"
 REPLAY_RATE = 5.0
@@ -376,7 +385,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _prepared(query) for name, query in _QUERIES.items()}
+    found = {name: _prepared(query) for name, query in _QUERIES.items()}
+    if corpus_queries:
+        found |= corpus_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 # SQL twins. They share no code with the queries; the fixture is written out again.
@@ -497,148 +509,156 @@ _ALL_GOLD = _with(_FIXTURES, _SILVER, _GOLD, select="SELECT * FROM gold")
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "zone_lookup": _with(_FIXTURES, select="SELECT LocationID, Zone FROM zones"),
-        "trip_scan": _with(
-            _FIXTURES,
-            select="""SELECT * REPLACE (
-                strftime(try_cast(tpep_pickup_datetime AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S')
-                    AS tpep_pickup_datetime) FROM trips""",
-        ),
-        "trip_events_json": _with(
-            _FIXTURES,
-            select=f"""SELECT coalesce(CAST("VendorID" AS VARCHAR), '') AS event_key,
-                CAST({len(TRIP_WIRE)} AS INT) AS n_fields, {_WIRE} FROM trips""",
-        ),
-        "bronze_parse": _ALL_TRIPS,
-        "bronze_stream": _ALL_TRIPS,
-        "bronze_restart": _ALL_TRIPS,
-        "bronze_inflight": _with(
-            _FIXTURES,
-            select='SELECT "VendorID", count(*) AS row_count FROM trips GROUP BY "VendorID"',
-        ),
-        "bronze_schema": _with(
-            _FIXTURES,
-            select=" UNION ALL ".join(
-                f"SELECT CAST({position} AS INT) AS position, '{f.name}' AS column_name, "
-                f"'{f.dataType.simpleString()}' AS data_type, "
-                f'count("{f.name}") AS filled_rows FROM trips'
-                for position, f in enumerate(TRIP_WIRE, start=1)
-            ),
-        ),
-        "bronze_sample": _with(
-            _FIXTURES,
-            select="""SELECT "VendorID", tpep_pickup_datetime, "PULocationID", "DOLocationID",
-                trip_distance, total_amount FROM trips
-                ORDER BY 1 NULLS FIRST, 2 NULLS FIRST, 3 NULLS FIRST, 4 NULLS FIRST,
-                         5 NULLS FIRST, 6 NULLS FIRST LIMIT 10""",
-        ),
-        "silver_valid_times": _with(
-            _FIXTURES,
-            _VALID,
-            select="""SELECT "VendorID", pickup_ts, dropoff_ts, "PULocationID", "DOLocationID",
-                fare_amount FROM valid""",
-        ),
-        "trip_duration": _with(
-            _FIXTURES,
-            _VALID,
-            select="SELECT pickup_ts, dropoff_ts, minutes AS trip_duration_minutes FROM valid",
-        ),
-        "trip_speed": _with(
-            _FIXTURES,
-            _VALID,
-            select="""SELECT minutes AS trip_duration_minutes, trip_distance,
-                CAST(trip_distance IS NULL OR minutes <= 0 OR trip_distance <= 0 AS INT)
-                    AS speed_undefined,
-                CASE WHEN minutes > 0 AND trip_distance > 0
-                     THEN trip_distance / (minutes / 60) END AS trip_speed_kmh
-                FROM valid""",
-        ),
-        "trips_with_zones": _with(
-            _FIXTURES,
-            select="""SELECT trips.*, a.Zone AS pickup_zone, b.Zone AS dropoff_zone FROM trips
-                LEFT JOIN zones a ON "PULocationID" = a.LocationID
-                LEFT JOIN zones b ON "DOLocationID" = b.LocationID""",
-        ),
-        "silver_dedup": _with(
-            _FIXTURES,
-            select="""SELECT fare_amount, trip_distance, tpep_pickup_datetime,
-                tpep_dropoff_datetime, "VendorID", "PULocationID", "DOLocationID", payment_type,
-                CAST(trunc(passenger_count) AS INT) AS passenger_count, tip_amount, total_amount
-                FROM (SELECT *, row_number() OVER (
-                    PARTITION BY "VendorID", tpep_pickup_datetime, tpep_dropoff_datetime,
-                                 "PULocationID", "DOLocationID", trip_distance, fare_amount
-                    ORDER BY payment_type NULLS FIRST, trunc(passenger_count) NULLS FIRST,
-                             tip_amount NULLS FIRST, total_amount NULLS FIRST) AS rn FROM trips)
-                WHERE rn = 1""",
+    found = dict(_TWINS)
+    if corpus_queries:
+        found |= corpus_queries.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+_TWINS: dict[str, str] = {
+    "zone_lookup": _with(_FIXTURES, select="SELECT LocationID, Zone FROM zones"),
+    "trip_scan": _with(
+        _FIXTURES,
+        select="""SELECT * REPLACE (
+            strftime(try_cast(tpep_pickup_datetime AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S')
+                AS tpep_pickup_datetime) FROM trips""",
+    ),
+    "trip_events_json": _with(
+        _FIXTURES,
+        select=f"""SELECT coalesce(CAST("VendorID" AS VARCHAR), '') AS event_key,
+            CAST({len(TRIP_WIRE)} AS INT) AS n_fields, {_WIRE} FROM trips""",
+    ),
+    "bronze_parse": _ALL_TRIPS,
+    "bronze_stream": _ALL_TRIPS,
+    "bronze_restart": _ALL_TRIPS,
+    "bronze_inflight": _with(
+        _FIXTURES,
+        select='SELECT "VendorID", count(*) AS row_count FROM trips GROUP BY "VendorID"',
+    ),
+    "bronze_schema": _with(
+        _FIXTURES,
+        select=" UNION ALL ".join(
+            f"SELECT CAST({position} AS INT) AS position, '{f.name}' AS column_name, "
+            f"'{f.dataType.simpleString()}' AS data_type, "
+            f'count("{f.name}") AS filled_rows FROM trips'
+            for position, f in enumerate(TRIP_WIRE, start=1)
         ),
-        "silver_trips": _ALL_SILVER,
-        "silver_publish": _ALL_SILVER,
-        "gold_zone_speed": _ALL_GOLD,
-        "gold_partitioned": _ALL_GOLD,
-        "snapshot_history": _with(
-            _FIXTURES,
-            _silver_ctes("lines", "first_silver"),
-            _SILVER,
-            select="""SELECT CAST(1 AS BIGINT) AS sequence, 'overwrite' AS operation,
-                             count(*) AS n_rows FROM first_silver
-                UNION ALL SELECT CAST(2 AS BIGINT), 'overwrite', count(*) FROM silver""",
-        ),
-        "speed_stats": _with(
-            _FIXTURES,
-            _SILVER,
-            select="""SELECT max(trip_speed_kmh) AS max_trip_speed_kmh,
-                round(avg(trip_speed_kmh), 6) AS avg_trip_speed_kmh,
-                CAST(sum(CASE WHEN trip_speed_kmh IS NULL THEN 1 ELSE 0 END) AS BIGINT)
-                    AS null_speed_rows,
-                count(*) AS total_rows FROM silver""",
-        ),
-        "layer_counts": _with(
-            _FIXTURES,
-            _SILVER,
-            _GOLD,
-            select="""SELECT 'bronze' AS layer, count(*) AS row_count FROM trips
-                UNION ALL SELECT 'silver', count(*) FROM silver
-                UNION ALL SELECT 'gold', count(*) FROM gold""",
-        ),
-        "top_zones": _with(
-            _FIXTURES,
-            _SILVER,
-            _GOLD,
-            select="SELECT * FROM gold ORDER BY max_speed_kmh DESC, pickup_zone LIMIT 10",
-        ),
-        "adhoc_sql": _with(_FIXTURES, select="SELECT count(*) AS row_count FROM trips"),
-        "adhoc_sql_sample": _with(
-            _FIXTURES,
-            _SILVER,
-            select="""SELECT * FROM silver
-                ORDER BY fare_amount DESC, trip_distance DESC NULLS LAST, pickup_datetime,
-                         dropoff_datetime, vendor_id, pu_location_id, do_location_id LIMIT 3""",
-        ),
-        "replay_schedule": _with(
-            _FIXTURES,
-            _NUMBERED,
-            select=f"""SELECT n AS ordinal,
-                CAST(floor((n - 1) / CAST({REPLAY_RATE} AS DOUBLE)) AS BIGINT) AS release_second,
-                "VendorID", tpep_pickup_datetime, "PULocationID", "DOLocationID", fare_amount
-                FROM numbered""",
-        ),
-        "replay_passes": _with(
-            _FIXTURES,
-            _NUMBERED,
-            select=f"""SELECT CAST(p AS INT) AS pass, (p - 1) * total + n AS ordinal,
-                CAST(floor(((p - 1) * total + n - 1) / CAST({REPLAY_RATE} AS DOUBLE)) AS BIGINT)
-                    AS release_second,
-                "VendorID", tpep_pickup_datetime, "PULocationID", "DOLocationID", fare_amount
-                FROM numbered, range(1, {REPLAY_PASSES + 1}) AS passes(p)""",
-        ),
-        "replay_progress": _with(
-            _FIXTURES,
-            _NUMBERED,
-            select=f"""SELECT report, sent, (sent - 1) / CAST({REPLAY_RATE} AS DOUBLE) AS elapsed_seconds,
-                CASE WHEN sent > 1 THEN round(sent / ((sent - 1) / CAST({REPLAY_RATE} AS DOUBLE)), 6)
-                END AS events_per_second
-                FROM (SELECT CAST(ceil(n / CAST(100 AS DOUBLE)) AS BIGINT) AS report,
-                             max(n) AS sent FROM numbered GROUP BY 1)""",
-        ),
-    }
+    ),
+    "bronze_sample": _with(
+        _FIXTURES,
+        select="""SELECT "VendorID", tpep_pickup_datetime, "PULocationID", "DOLocationID",
+            trip_distance, total_amount FROM trips
+            ORDER BY 1 NULLS FIRST, 2 NULLS FIRST, 3 NULLS FIRST, 4 NULLS FIRST,
+                     5 NULLS FIRST, 6 NULLS FIRST LIMIT 10""",
+    ),
+    "silver_valid_times": _with(
+        _FIXTURES,
+        _VALID,
+        select="""SELECT "VendorID", pickup_ts, dropoff_ts, "PULocationID", "DOLocationID",
+            fare_amount FROM valid""",
+    ),
+    "trip_duration": _with(
+        _FIXTURES,
+        _VALID,
+        select="SELECT pickup_ts, dropoff_ts, minutes AS trip_duration_minutes FROM valid",
+    ),
+    "trip_speed": _with(
+        _FIXTURES,
+        _VALID,
+        select="""SELECT minutes AS trip_duration_minutes, trip_distance,
+            CAST(trip_distance IS NULL OR minutes <= 0 OR trip_distance <= 0 AS INT)
+                AS speed_undefined,
+            CASE WHEN minutes > 0 AND trip_distance > 0
+                 THEN trip_distance / (minutes / 60) END AS trip_speed_kmh
+            FROM valid""",
+    ),
+    "trips_with_zones": _with(
+        _FIXTURES,
+        select="""SELECT trips.*, a.Zone AS pickup_zone, b.Zone AS dropoff_zone FROM trips
+            LEFT JOIN zones a ON "PULocationID" = a.LocationID
+            LEFT JOIN zones b ON "DOLocationID" = b.LocationID""",
+    ),
+    "silver_dedup": _with(
+        _FIXTURES,
+        select="""SELECT fare_amount, trip_distance, tpep_pickup_datetime,
+            tpep_dropoff_datetime, "VendorID", "PULocationID", "DOLocationID", payment_type,
+            CAST(trunc(passenger_count) AS INT) AS passenger_count, tip_amount, total_amount
+            FROM (SELECT *, row_number() OVER (
+                PARTITION BY "VendorID", tpep_pickup_datetime, tpep_dropoff_datetime,
+                             "PULocationID", "DOLocationID", trip_distance, fare_amount
+                ORDER BY payment_type NULLS FIRST, trunc(passenger_count) NULLS FIRST,
+                         tip_amount NULLS FIRST, total_amount NULLS FIRST) AS rn FROM trips)
+            WHERE rn = 1""",
+    ),
+    "silver_trips": _ALL_SILVER,
+    "silver_publish": _ALL_SILVER,
+    "gold_zone_speed": _ALL_GOLD,
+    "gold_partitioned": _ALL_GOLD,
+    "snapshot_history": _with(
+        _FIXTURES,
+        _silver_ctes("lines", "first_silver"),
+        _SILVER,
+        select="""SELECT CAST(1 AS BIGINT) AS sequence, 'overwrite' AS operation,
+                         count(*) AS n_rows FROM first_silver
+            UNION ALL SELECT CAST(2 AS BIGINT), 'overwrite', count(*) FROM silver""",
+    ),
+    "speed_stats": _with(
+        _FIXTURES,
+        _SILVER,
+        select="""SELECT max(trip_speed_kmh) AS max_trip_speed_kmh,
+            round(avg(trip_speed_kmh), 6) AS avg_trip_speed_kmh,
+            CAST(sum(CASE WHEN trip_speed_kmh IS NULL THEN 1 ELSE 0 END) AS BIGINT)
+                AS null_speed_rows,
+            count(*) AS total_rows FROM silver""",
+    ),
+    "layer_counts": _with(
+        _FIXTURES,
+        _SILVER,
+        _GOLD,
+        select="""SELECT 'bronze' AS layer, count(*) AS row_count FROM trips
+            UNION ALL SELECT 'silver', count(*) FROM silver
+            UNION ALL SELECT 'gold', count(*) FROM gold""",
+    ),
+    "top_zones": _with(
+        _FIXTURES,
+        _SILVER,
+        _GOLD,
+        select="SELECT * FROM gold ORDER BY max_speed_kmh DESC, pickup_zone LIMIT 10",
+    ),
+    "adhoc_sql": _with(_FIXTURES, select="SELECT count(*) AS row_count FROM trips"),
+    "adhoc_sql_sample": _with(
+        _FIXTURES,
+        _SILVER,
+        select="""SELECT * FROM silver
+            ORDER BY fare_amount DESC, trip_distance DESC NULLS LAST, pickup_datetime,
+                     dropoff_datetime, vendor_id, pu_location_id, do_location_id LIMIT 3""",
+    ),
+    "replay_schedule": _with(
+        _FIXTURES,
+        _NUMBERED,
+        select=f"""SELECT n AS ordinal,
+            CAST(floor((n - 1) / CAST({REPLAY_RATE} AS DOUBLE)) AS BIGINT) AS release_second,
+            "VendorID", tpep_pickup_datetime, "PULocationID", "DOLocationID", fare_amount
+            FROM numbered""",
+    ),
+    "replay_passes": _with(
+        _FIXTURES,
+        _NUMBERED,
+        select=f"""SELECT CAST(p AS INT) AS pass, (p - 1) * total + n AS ordinal,
+            CAST(floor(((p - 1) * total + n - 1) / CAST({REPLAY_RATE} AS DOUBLE)) AS BIGINT)
+                AS release_second,
+            "VendorID", tpep_pickup_datetime, "PULocationID", "DOLocationID", fare_amount
+            FROM numbered, range(1, {REPLAY_PASSES + 1}) AS passes(p)""",
+    ),
+    "replay_progress": _with(
+        _FIXTURES,
+        _NUMBERED,
+        select=f"""SELECT report, sent, (sent - 1) / CAST({REPLAY_RATE} AS DOUBLE) AS elapsed_seconds,
+            CASE WHEN sent > 1 THEN round(sent / ((sent - 1) / CAST({REPLAY_RATE} AS DOUBLE)), 6)
+            END AS events_per_second
+            FROM (SELECT CAST(ceil(n / CAST(100 AS DOUBLE)) AS BIGINT) AS report,
+                         max(n) AS sent FROM numbered GROUP BY 1)""",
+    ),
+}
