@@ -1,0 +1,79 @@
+"""Similarity components against all pairs."""
+
+import random
+import re
+
+import numpy as np
+
+from tripstrata.llm import jaccard
+from tripstrata.llm.components import components
+
+
+def brute(rows, percent=90):
+    lower = {c: c + 32 for c in range(65, 91)}
+    sets = []
+    for _, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(lower))
+        sets.append({tuple(w[i : i + 3]) for i in range(len(w) - 2)} if len(w) > 2 else {tuple(w)} - {()})
+    part = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                old, new = part[i], part[j]
+                part = [new if p == old else p for p in part]
+    least = {}
+    for (d, _), p in zip(rows, part):
+        if d is not None:
+            least[p] = min(least.get(p, d), d)
+    return sorted(((d, len(s), least.get(p)) for (d, _), s, p in zip(rows, sets, part)), key=str)
+
+
+def test_against_all_pairs(spark):
+    rng = random.Random(3)
+    vocabulary = [f"{a}{b}" for a in "abcdefgh" for b in "XyzÉ"]
+    base = [[rng.choice(vocabulary) for _ in range(rng.choice([1, 2, 3, 8, 20, 40, 90, 200]))] for _ in range(24)]
+    rows = []
+    for i in range(260):
+        w = list(rng.choice(base))
+        for _ in range(rng.choice([0, 0, 1, 1, 2, 3, 5])):
+            w[rng.randrange(len(w))] = rng.choice(vocabulary)
+        if rng.random() < 0.3:
+            w += [rng.choice(vocabulary) for _ in range(rng.randint(0, 4))]
+        rows.append((i, rng.choice([" ", "\n "]).join(w).swapcase() if rng.random() < 0.1 else " ".join(w)))
+    rows += [(900, None), (901, " \n"), (902, ""), (None, rows[3][1]), (3, rows[3][1])]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    done = jaccard.similarity_components(docs)
+    got = sorted((tuple(r) for r in done.select("doc_id", "n_shingles", "component_id").collect()), key=str)
+    assert got == brute(rows)
+    kept = done.where("keeper").select("doc_id").count()
+    assert kept == done.select("component_id").distinct().count() + 0
+    assert jaccard.similarity_components(docs.limit(0), carry=True).count() == 0
+
+
+def test_regions_are_joined_exactly():
+    rng = random.Random(1)
+    for _ in range(30):
+        base = [rng.sample(range(400), 60) for _ in range(3)]
+        sets = []
+        for _ in range(30):
+            s = set(rng.choice(base))
+            for x in rng.sample(sorted(s), rng.randint(0, 5)):
+                s.discard(x)
+            sets.append(np.array(sorted(s), dtype=np.uint64))
+        links = jaccard.join_region(sets, list(range(30)), 90)
+
+        def parts(pairs):
+            part = list(range(30))
+            for a, b in pairs:
+                part = [part[a] if p == part[b] else p for p in part]
+            return [part.index(p) for p in part]
+
+        every = [(i, j) for i in range(30) for j in range(i) if jaccard.linked(sets[i], sets[j], 90)]
+        assert parts(links) == parts(every)
+
+
+def test_components_of_a_chain(spark):
+    pairs = [(i, i + 1) for i in range(1, 40)] + [(100, 100), (90, 80), (80, 90), (None, 1)]
+    rows = components(spark.createDataFrame(pairs, "a long, b long")).collect()
+    assert {r.node: r.component for r in rows} == {**{i: 1 for i in range(1, 41)}, 80: 80, 90: 80}

@@ -35,7 +35,7 @@ def n_blocks(docs: DataFrame, text_col: str = "text") -> int:
 
 def bucket_bits(blocks: int, per_block: int) -> int:
     """Bits of a hash that name its bucket, so that a bucket stays near ``BUCKET_HASHES``."""
-    return max(3, math.ceil(math.log2(max(1, blocks * per_block / BUCKET_HASHES))))
+    return max(6, math.ceil(math.log2(max(1, blocks * per_block / BUCKET_HASHES))))
 
 
 def store(docs: DataFrame, blocks: int) -> DataFrame:

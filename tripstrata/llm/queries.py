@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripstrata.llm import substrings, suffixes
+from tripstrata.llm import jaccard, substrings, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = jaccard.similarity_components(_table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_shingles", "component_id")
+
+
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = suffixes.remove_repeated_bytes(_table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -25,6 +30,7 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
 }
 
