@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripstrata.llm import jaccard, substrings, suffixes
+from tripstrata.llm import bpe, jaccard, substrings, suffixes, tokenfile
+from tripstrata.sources.workspace import new_folder
+
+TOKENIZERS = "/opt/tokenizers"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,10 +32,30 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op6_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    done = bpe.encode_and_decode(docs, f"{TOKENIZERS}/byte_bpe_50k.json")
+    return done.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "tokens")
+    docs = _table(spark, sf_dir, "documents")
+    tokenfile.write_tokens(docs, f"{TOKENIZERS}/word_bpe_49k.json", folder)
+    return tokenfile.read_tokens(spark, folder)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
+    "op6_bpe_encode_decode": op6_bpe_encode_decode,
+    "op9_token_output": op9_token_output,
 }
 
 ORACLE_SQL: dict[str, str] = {}
