@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripstrata.llm import bpe, jaccard, substrings, suffixes, tokenfile, warc
+from tripstrata.llm import bpe, jaccard, substrings, suffixes, tokenfile, warc, wrappers
 from tripstrata.sources.workspace import new_folder
 
 TOKENIZERS = "/opt/tokenizers"
@@ -22,6 +22,10 @@ def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract_main_text(_table(spark, sf_dir, "pages"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substrings.remove_repeats(_table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -57,6 +61,7 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_index": op1_warc_index,
+    "op2_html_extraction": op2_html_extraction,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
