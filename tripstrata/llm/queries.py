@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripstrata.llm import bpe, jaccard, substrings, suffixes, tokenfile, warc, wrappers
+from tripstrata.llm import (
+    boosting,
+    bpe,
+    decontam,
+    jaccard,
+    rules,
+    substrings,
+    suffixes,
+    tokenfile,
+    warc,
+    wrappers,
+)
 from tripstrata.sources.workspace import new_folder
 
 TOKENIZERS = "/opt/tokenizers"
@@ -52,6 +63,16 @@ def op6_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return boosting.quality_scores(docs, labels)
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return rules.quality_rules(docs, labels)[0]
+
+
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "tokens")
     docs = _table(spark, sf_dir, "documents")
@@ -59,6 +80,11 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_tokens(spark, folder)
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontam.find_leaks(docs, benchmark)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_index": op1_warc_index,
     "op2_html_extraction": op2_html_extraction,
@@ -66,7 +92,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_bpe_encode_decode": op6_bpe_encode_decode,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op8_quality_rules": op8_quality_rules,
     "op9_token_output": op9_token_output,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}

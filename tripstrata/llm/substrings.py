@@ -207,12 +207,10 @@ def remove_repeats(
     """Every text without the words of windows that also start earlier in the corpus.
 
     Returns ``doc_id``, ``text`` (the kept words, one space between), ``n_words``,
-    ``n_removed`` and ``kept_sha256``; with ``carry`` also ``rest``, a struct of the other
+    ``n_removed`` and ``kept_sha256``; with ``carry`` also ``rest``, a struct of all
     columns of ``docs`` as they were. Every row of ``docs`` gives one row.
     """
-    own = {id_col.lower(), text_col.lower()}
-    others = [c for c in docs.columns if c.lower() not in own] if carry else []
-    rest = F.struct(*(F.col(f"`{c}`") for c in others)) if others else F.lit(None).cast("string")
+    rest = F.struct(*(F.col(f"`{c}`") for c in docs.columns)) if carry else F.lit(None).cast("string")
     blocks = B.n_blocks(docs, text_col)
     bits = B.bucket_bits(blocks, _PER_BLOCK)
     stored = B.store(
