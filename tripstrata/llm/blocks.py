@@ -27,10 +27,10 @@ ASKED = "block long, level int, bucket int, n int, hashes binary, more binary"
 ANSWERED = "block long, level int, bucket int, bits binary"
 
 
-def n_blocks(docs: DataFrame, text_col: str = "text") -> int:
+def n_blocks(docs: DataFrame, text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> int:
     """Blocks for the texts of ``docs``, whose bytes are counted; estimates can be far off."""
     total = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
-    return max(1, math.ceil(total / BLOCK_BYTES))
+    return max(1, math.ceil(total / block_bytes))
 
 
 def bucket_bits(blocks: int, per_block: int) -> int:

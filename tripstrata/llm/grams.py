@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _WORD_STEP = np.uint64(0xD6E8FEB86659FD93)
 _SPACE = np.zeros(256, dtype=bool)
@@ -46,7 +46,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
     """The first ``n`` powers modulo 2**64; tables are kept by size class."""
-    return _powers(int(base), max(SLICE_BYTES * 2, 1 << (n + 1).bit_length()))[:n]
+    return _powers(int(base), max(SLICE_BYTES, 1 << (n + 1).bit_length()))[:n]
 
 
 @dataclass

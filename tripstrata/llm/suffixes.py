@@ -22,6 +22,7 @@ bytes. A null text has no bytes. Tables without rows give none.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,10 @@ from tripstrata.llm import grams as G
 LENGTH = 50
 GRAM = 20
 NULL_ID = np.iinfo(np.int64).min
-_PER_BLOCK = 300_000
+#: Blocks are small, as all their hashes are held; anchors of one, about.
+_BLOCK_BYTES, _PER_BLOCK = 2 << 20, 150_000
+#: Suffix buckets are finer than those of anchors, as their windows are laid out in memory.
+_FINER = 4
 _TEXTS, _ANCHORS, _SUFFIXES = 0, 1, 2
 _COVER, _PERIOD = (0, 1, 3), 7
 _HEAD = 16
@@ -42,16 +46,6 @@ _HEAD = 16
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"
 
 
-def least_at(hashes: np.ndarray, w: int) -> np.ndarray:
-    """Position of the leftmost least of every ``w`` consecutive hashes."""
-    at, span = np.arange(len(hashes), dtype=np.int32), 1
-    while span < w:
-        step = min(span, w - span)
-        a, b = at[:-step], at[step:]
-        at, span = np.where(hashes[a] <= hashes[b], a, b), span + step
-    return at
-
-
 class _Slice:
     """Windows of a few texts."""
 
@@ -66,19 +60,31 @@ class _Slice:
         self.live = np.cumsum(steps[:-1]) == 0
         self.hashes = G.gram_hashes(G.prefix_codes(part.data), GRAM)
 
+        self.width = length - GRAM + 1
+        self.chosen = np.flatnonzero(G.winnow(self.hashes, self.live, self.width))
+
     def anchors(self) -> np.ndarray:
-        return self.hashes[G.winnow(self.hashes, self.live, self.length - GRAM + 1)]
+        return self.hashes[self.chosen]
 
     def narrow(self, anchors: np.ndarray, several: np.ndarray, copy: np.ndarray) -> None:
+        """Keep the windows whose anchor is repeated, with their anchors."""
         left = np.flatnonzero(self.live)
-        least = G.sliding(self.hashes, self.length - GRAM + 1, np.minimum)[left]
         text = np.searchsorted(self.part.offsets, left, side="right") - 1
-        self.live[left] = several[np.searchsorted(anchors, least)] & ~copy[text]
+        left = left[~copy[text]]
+        least = G.sliding(self.hashes, self.width, np.minimum)[left]
+        kept = several[np.searchsorted(anchors, least)]
+        self.left, least = left[kept], least[kept]
+        # The anchor is the first chosen place from the start on that holds the least hash.
+        spot = np.searchsorted(self.chosen, self.left)
+        wrong = np.flatnonzero(self.hashes[self.chosen[spot]] != least) if len(spot) else spot
+        while len(wrong):
+            spot[wrong] += 1
+            wrong = wrong[self.hashes[self.chosen[spot[wrong]]] != least[wrong]]
+        self.at = self.chosen[spot]
 
     def runs(self):
-        """Runs of live windows with one anchor: first start, end of starts, anchor."""
-        left = np.flatnonzero(self.live)
-        at = least_at(self.hashes, self.length - GRAM + 1)[left]
+        """Runs of windows with one anchor: first start, end of starts, anchor."""
+        left, at = self.left, self.at
         fresh = np.ones(len(left), dtype=bool)
         fresh[1:] = (at[1:] != at[:-1]) | (left[1:] != left[:-1] + 1)
         first = np.flatnonzero(fresh)
@@ -92,10 +98,7 @@ class _Block:
         self.texts = G.texts(table["text"])
         self.ids = table["doc_id"].fill_null(NULL_ID).to_numpy().astype(np.int64)
         self.copy = np.zeros(len(self.texts), dtype=bool)
-
-    def slices(self):
-        for first, part in G.slices(self.texts):
-            yield first, _Slice(part, self.length)
+        self.pieces = [(first, _Slice(part, length)) for first, part in G.slices(self.texts)]
 
     def whole_texts(self):
         """Texts of at least one window, sorted by hash and id; which lead their hash."""
@@ -127,7 +130,7 @@ class _Block:
         return pa.concat_tables([texts, anchors])
 
     def anchors(self) -> np.ndarray:
-        found = [piece.anchors() for _, piece in self.slices()]
+        found = [piece.anchors() for _, piece in self.pieces]
         return np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
 
     def settle(self, replies: pa.Table) -> None:
@@ -136,13 +139,14 @@ class _Block:
         group = np.cumsum(lead) - 1
         ids = self.ids[order]
         self.copy[order[(ids > ids[lead][group]) | ~first[group]]] = True
-        self.known = np.unique(self.anchors())
-        self.several = B.read_answer(replies, _ANCHORS, self.bits, self.known)
+        known = np.unique(self.anchors())
+        several = B.read_answer(replies, _ANCHORS, self.bits, known)
+        for first, piece in self.pieces:
+            piece.narrow(known, several, self.copy[first : first + len(piece.part)])
 
     def narrowed(self):
         """Slices with the windows left, and their runs."""
-        for first, piece in self.slices():
-            piece.narrow(self.known, self.several, self.copy[first : first + len(piece.part)])
+        for first, piece in self.pieces:
             yield first, piece, *piece.runs()
 
     def neighbourhoods(self):
@@ -171,7 +175,7 @@ class _Block:
             return head.T.tobytes() + B.planes(ids[a:b].copy()) + content
 
         hashes = np.array([k[0] for k in leads], dtype=np.uint64)
-        return B.question(block, _SUFFIXES, self.bits, hashes, more, send=False)
+        return B.question(block, _SUFFIXES, self.bits + _FINER, hashes, more, send=False)
 
     def removed(self, replies: pa.Table) -> np.ndarray:
         """Which bytes are covered by a window that also starts in a text of smaller id."""
@@ -240,6 +244,31 @@ def suffix_ranks(data: np.ndarray, start: np.ndarray, anchor: np.ndarray, length
     return _dense([start - anchor, words[start], words[start + 8], ranks, *ends])
 
 
+def _least_owner(spots: list[tuple[int, bytes]], least: np.ndarray, length: int):
+    """For neighbourhoods that share their anchor with others: the least id of each window."""
+    seen = Counter(content[offset : offset + GRAM] for offset, content in spots)
+    number = np.array(
+        [i for i, (o, c) in enumerate(spots) if seen[c[o : o + GRAM]] > 1], dtype=np.int64
+    )
+    most = np.iinfo(np.int64).max
+    if not len(number):
+        return number, np.full((0, 1), most)
+    some = [spots[i] for i in number]
+    sizes = np.array([len(c) for _, c in some])
+    begin = np.concatenate([[0], np.cumsum(sizes)])
+    counts = sizes - length + 1
+    text = np.repeat(np.arange(len(sizes)), counts)
+    shift = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
+    anchor = begin[:-1] + np.array([o for o, _ in some])
+    data = np.frombuffer(b"".join(c for _, c in some), dtype=np.uint8)
+    rank = suffix_ranks(data, begin[text] + shift, anchor[text], length)
+    first = np.full(rank.max() + 1, most)
+    np.minimum.at(first, rank, least[number][text])
+    table = np.full((len(sizes), int(counts.max())), most)
+    table[text, shift] = first[rank]
+    return number, table
+
+
 def _smaller_starts(rows: list[dict], length: int) -> list[bytes]:
     """Per asked neighbourhood, the windows that also start under a smaller id, as bits."""
     numbers: dict[tuple[int, bytes], int] = {}
@@ -256,20 +285,19 @@ def _smaller_starts(rows: list[dict], length: int) -> list[bytes]:
     owner, group = np.concatenate(ids), np.array(which)
     least = np.full(len(numbers), np.iinfo(np.int64).max)
     np.minimum.at(least, group, owner)
-    sizes = np.array([len(c) for _, c in numbers])
-    begin = np.concatenate([[0], np.cumsum(sizes)])
-    counts = sizes - length + 1
-    text = np.repeat(np.arange(len(sizes)), counts)
-    shift = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
-    anchor = begin[:-1] + np.array([o for o, _ in numbers])
-    data = np.frombuffer(b"".join(c for _, c in numbers), dtype=np.uint8)
-    rank = suffix_ranks(data, begin[text] + shift, anchor[text], length)
-    first = np.full(rank.max() + 1, np.iinfo(np.int64).max)
-    np.minimum.at(first, rank, least[text])
-    table = np.full((len(sizes), int(counts.max())), np.iinfo(np.int64).max)
-    table[text, shift] = first[rank]
+    first = _least_owner(list(numbers), least, length)
+    counts = np.array([len(c) - length + 1 for _, c in numbers], dtype=np.uint32)
+    every = (np.uint64(1) << counts.astype(np.uint64)) - np.uint64(1)
+    # A neighbourhood that stands alone at its anchor repeats as a whole or not at all.
+    masks = np.where(least[group] < owner, every[group], 0).astype(np.uint32)
+    number, table = first
+    row = np.full(len(numbers), -1)
+    row[number] = np.arange(len(number))
+    mixed = np.flatnonzero(row[group] >= 0)
     bits = np.uint32(1) << np.arange(table.shape[1], dtype=np.uint32)
-    masks = ((table[group] < owner[:, None]) * bits).sum(axis=1, dtype=np.uint32)
+    for part in np.array_split(mixed, max(1, len(mixed) >> 15)):
+        smaller = table[row[group[part]]] < owner[part][:, None]
+        masks[part] = (smaller * bits).sum(axis=1, dtype=np.uint32)
     edges = np.cumsum([0, *(r["n"] for r in rows)])
     return [masks[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
 
@@ -318,7 +346,7 @@ def remove_repeated_bytes(
     """
     if not 2 * _HEAD + 8 < length <= GRAM + 31:
         raise ValueError(f"length must be above {2 * _HEAD + 8} and at most {GRAM + 31}")
-    blocks = B.n_blocks(docs, text_col)
+    blocks = B.n_blocks(docs, text_col, _BLOCK_BYTES)
     bits = B.bucket_bits(blocks, _PER_BLOCK)
     table = B.store(
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")),
