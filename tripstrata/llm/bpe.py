@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Pieces remembered by one worker; only speed depends on it.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 #: Characters of texts encoded at a time.
 CHUNK_CHARS = 1 << 20
 
@@ -118,7 +118,7 @@ class Vocabulary:
         key = a << 32 | b
         known = self._fits.get(key)
         if known is None:
-            if len(self._fits) > 4 * REMEMBERED:
+            if len(self._fits) > REMEMBERED:
                 self._fits.clear()
             known = self._fits[key] = self._first_crossing(a, b) == float("inf")
         return known

@@ -36,7 +36,7 @@ RANK_BITS = 512
 SEGMENT_IDS = 1 << 21
 #: Bytes of text for one shard, about, and the most shards: their bounds are on the driver.
 SHARD_BYTES, MAX_SHARDS = 16 << 20, 10_000
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 NULL_ID = np.iinfo(np.int64).min
 
 # The tokenizer's pattern for lower-case texts of Latin-1 letters.
