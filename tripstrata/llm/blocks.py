@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripstrata.sources.workspace import new_folder
@@ -55,6 +55,13 @@ def store(docs: DataFrame, blocks: int) -> DataFrame:
     return table
 
 
+def other_columns(docs: DataFrame, *own: str) -> Column:
+    """A struct of the columns of ``docs`` but ``own``, so that names cannot clash."""
+    names = {c.lower() for c in own}
+    rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in names]
+    return F.struct(*rest) if rest else F.struct(F.lit(None).cast("string").alias("none"))
+
+
 def keep(rows: DataFrame, name: str) -> DataFrame:
     """Rows written to the shared folder and read back: no later job makes them again."""
     path = new_folder(rows.sparkSession, name)

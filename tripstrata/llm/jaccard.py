@@ -25,6 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tripstrata.llm import blocks as B
 from tripstrata.llm import grams as G
@@ -224,10 +225,10 @@ def similarity_components(
 
     Returns ``doc_id``, ``n_shingles``, ``component_id`` (the least id reachable by links; null
     ids count only where a group has no other) and ``keeper``, true for one row of each group,
-    the first of those with the least id; with ``carry`` also ``rest``, a struct of all columns
-    of ``docs``. Every row of ``docs`` gives one row.
+    the first of those with the least id; with ``carry`` also ``text`` and ``rest``, a struct of
+    the other columns of ``docs``. Every row of ``docs`` gives one row.
     """
-    rest = F.struct(*(F.col(f"`{c}`") for c in docs.columns)) if carry else F.lit(None).cast("string")
+    rest = B.other_columns(docs, id_col, text_col) if carry else F.lit(None).cast("string")
     blocks = B.n_blocks(docs, text_col)
     bits = B.bucket_bits(blocks, _PER_BLOCK)
     stored = B.store(
@@ -304,7 +305,9 @@ def similarity_components(
     sets = B.keep(both.applyInArrow(share_sets, "row_id long, items binary"), "sets")
 
     pivots = slices.groupBy("slice").agg(F.min("row_id").alias("pivot"))
-    cells = slices.join(pivots, "slice").where("row_id != pivot")
+    # Not partitioned by slice, so that a slice of many documents can be split.
+    spread = pivots.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cells = slices.join(spread, "slice").where("row_id != pivot")
     cells = B.keep(cells.select(F.col("row_id").alias("a"), F.col("pivot").alias("b")).distinct(), "cells")
     nearest = cells.groupBy("a").agg(F.min("b").alias("b"))
     links = B.keep(_verified(nearest, sets, percent), "links")
@@ -312,7 +315,7 @@ def similarity_components(
     apart = _with_parts(cells, parts).where("a_part != b_part").select("a", "b")
     links = links.unionByName(B.keep(_verified(apart, sets, percent), "links"))
     parts = B.keep(components(links), "parts")
-    links = links.unionByName(_regions(slices, pivots, parts, sets, percent))
+    links = links.unionByName(_regions(cells, parts, sets, percent))
     parts = B.keep(components(links), "parts")
 
     named = printed.join(
@@ -322,22 +325,36 @@ def similarity_components(
     ).join(parts, "node", "left")
     ids = stored.select("row_id", "doc_id")
     named = named.select(
-        "row_id", "n_shingles", F.coalesce("component", "node", "row_id").alias("part")
+        "block", "row_id", "n_shingles", F.coalesce("component", "node", "row_id").alias("part")
     ).join(ids, "row_id")
     least = named.groupBy("part").agg(
         F.min("doc_id").alias("component_id"),
         F.min_by("row_id", F.struct(F.col("doc_id").isNull(), "doc_id", "row_id")).alias("kept"),
     )
     done = named.join(least, "part").select(
+        "block",
         "row_id",
         "doc_id",
         "n_shingles",
         "component_id",
         (F.col("row_id") == F.col("kept")).alias("keeper"),
     )
-    if carry:
-        done = done.join(stored.select("row_id", "rest"), "row_id")
-    return done.drop("row_id")
+    if not carry:
+        return done.drop("row_id", "block")
+
+    def together(left: pa.Table, right: pa.Table) -> pa.Table:
+        at = np.argsort(left["row_id"].to_numpy())
+        spots = at[np.searchsorted(left["row_id"].to_numpy()[at], right["row_id"].to_numpy())]
+        texts = left.select(["text", "rest"]).take(pa.array(spots))
+        return pa.table([*right.select(names).columns, *texts.columns], [*names, "text", "rest"])
+
+    names = ["doc_id", "n_shingles", "component_id", "keeper"]
+    schema = StructType(
+        [*done.select(*names).schema, stored.schema["text"], stored.schema["rest"]]
+    )
+    whole = stored.select("block", "row_id", "text", "rest").groupBy("block")
+    # The small rows go to the blocks, so that no text is shuffled.
+    return whole.cogroup(done.groupBy("block")).applyInArrow(together, schema)
 
 
 def leads_and_replies(nodes: DataFrame, replies: DataFrame) -> DataFrame:
@@ -345,18 +362,18 @@ def leads_and_replies(nodes: DataFrame, replies: DataFrame) -> DataFrame:
     return nodes.select("lead.block", "lead.row_id").unionByName(replies, allowMissingColumns=True)
 
 
-def _regions(
-    slices: DataFrame, pivots: DataFrame, parts: DataFrame, sets: DataFrame, percent: int
-) -> DataFrame:
-    """Links across components within slices whose documents are not all connected."""
-    at = slices.join(parts.withColumnRenamed("node", "row_id"), "row_id", "left").select(
-        "slice", "row_id", F.coalesce("component", "row_id").alias("part")
-    )
-    mixed = at.groupBy("slice").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
-    mixed = mixed.where("lo != hi").select("slice").join(pivots, "slice")
-    members = B.keep(
-        at.join(mixed, "slice").select("pivot", "row_id", "part").distinct(), "regions"
-    )
+def _regions(cells: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links across components within the regions whose documents are not all connected.
+
+    Documents that agree in a slice have cells with one pivot, so a region is a pivot with
+    the documents of its cells.
+    """
+    at = _with_parts(cells, parts)
+    mixed = B.keep(at.where("a_part != b_part").select("b").distinct(), "mixed-regions")
+    inside = at.join(mixed, "b")
+    members = inside.select(F.col("b").alias("pivot"), F.col("a").alias("row_id"), F.col("a_part").alias("part"))
+    pivots = inside.select(F.col("b").alias("pivot"), F.col("b").alias("row_id"), F.col("b_part").alias("part"))
+    members = B.keep(members.unionByName(pivots.distinct()), "regions")
     sizes = members.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / REGION).alias("n_parts"))
     spread = members.join(sizes, "pivot").withColumn(
         "mine", F.pmod(F.xxhash64("row_id"), F.col("n_parts"))

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tripstrata.llm import blocks as B
 from tripstrata.llm import grams as G
@@ -163,28 +164,30 @@ def _leads(keys: list[np.ndarray], place: list[np.ndarray]):
     return lead, order, np.cumsum(lead) - 1
 
 
-def _kept_rows(block: _Block, table: pa.Table, gone: np.ndarray) -> pa.Table:
+def _kept_rows(block: _Block, table: pa.Table, gone: np.ndarray, carry: bool = False) -> pa.Table:
     n = len(block.texts)
     counts = np.diff(block.words.first)
     total = np.concatenate([[0], np.cumsum(gone)])
     removed = total[block.words.first[1:]] - total[block.words.first[:-1]]
-    kept = []
+    kept, words = [], []
     for i in range(n):
         raw = block.texts.bytes_of(i).split()
         if removed[i]:
             drop = gone[block.words.first[i] : block.words.first[i + 1]]
             raw = [w for w, d in zip(raw, drop) if not d]
-        kept.append(b" ".join(raw))
-    return pa.table(
+        words.append(b" ".join(raw))
+        kept.append(words[-1] if removed[i] or not carry else block.texts.bytes_of(i))
+    out = pa.table(
         {
             "row_id": table["row_id"],
             "doc_id": table["doc_id"],
             "text": pa.array(kept, pa.binary()).cast(pa.string()),
             "n_words": pa.array(counts, pa.int64()),
             "n_removed": pa.array(removed, pa.int64()),
-            "kept_sha256": [hashlib.sha256(k).hexdigest() for k in kept],
+            "kept_sha256": [hashlib.sha256(k).hexdigest() for k in words],
         }
     )
+    return out.append_column("rest", table["rest"]) if carry else out
 
 
 def _judge(last: int):
@@ -207,10 +210,10 @@ def remove_repeats(
     """Every text without the words of windows that also start earlier in the corpus.
 
     Returns ``doc_id``, ``text`` (the kept words, one space between), ``n_words``,
-    ``n_removed`` and ``kept_sha256``; with ``carry`` also ``rest``, a struct of all
-    columns of ``docs`` as they were. Every row of ``docs`` gives one row.
+    ``n_removed`` and ``kept_sha256``; with ``carry`` also ``rest``, a struct of the
+    other columns of ``docs``, and texts that lose nothing keep their white space. Every row of ``docs`` gives one row.
     """
-    rest = F.struct(*(F.col(f"`{c}`") for c in docs.columns)) if carry else F.lit(None).cast("string")
+    rest = B.other_columns(docs, id_col, text_col) if carry else F.lit(None).cast("string")
     blocks = B.n_blocks(docs, text_col)
     bits = B.bucket_bits(blocks, _PER_BLOCK)
     stored = B.store(
@@ -256,9 +259,11 @@ def remove_repeats(
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         block = block_of(left, right, len(lengths) - 1)
-        return _kept_rows(block, left, block.removed(right))
-
-    done = table.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(finish, RESULT)
-    if not carry:
-        return done.drop("row_id")
-    return done.join(stored.select("row_id", "rest"), "row_id").drop("row_id")
+        return _kept_rows(block, left, block.removed(right), carry)
+
+    schema = StructType.fromDDL(RESULT)
+    if carry:
+        table = stored.select("block", "row_id", "doc_id", "text", "rest")
+        schema = schema.add(stored.schema["rest"])
+    both = table.groupBy("block").cogroup(replies.groupBy("block"))
+    return both.applyInArrow(finish, schema).drop("row_id")
