@@ -6,7 +6,7 @@ columns of ``docs``. Texts and rows are dropped by a stage's own decision only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripstrata.llm import bpe, boosting, decontam, jaccard, substrings
@@ -27,17 +27,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that of the least id."""
     grouped = jaccard.similarity_components(docs, SHINGLE, PERCENT, carry=True)
-    return grouped.where("keeper or n_shingles = 0").select("rest.*").select(*docs.columns)
+    return _columns(grouped.where("keeper or n_shingles = 0"), docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages that also start earlier; those left empty by it go."""
     done = substrings.remove_repeats(docs, carry=True)
-    # Texts that lost nothing keep their white space too.
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("rest.text"))
-    columns = {"text": text, "n_chars": F.length(text).cast("long")}
-    kept = done.where("n_removed = 0 or n_removed < n_words").withColumnRenamed("text", "kept")
-    return kept.select(*(columns.get(c, F.col(f"rest.`{c}`")).alias(c) for c in docs.columns))
+    kept = done.where("n_removed = 0 or n_removed < n_words")
+    return _columns(kept, docs, n_chars=F.length("text").cast("long"))
+
+
+def _columns(rows: DataFrame, docs: DataFrame, **new: Column) -> DataFrame:
+    """The columns of ``docs``, from ``rest`` but for the id, the text and new ones."""
+    own = {"doc_id": F.col("doc_id"), "text": F.col("text"), **new}
+    return rows.select(*(own.get(c, F.col(f"rest.`{c}`")).alias(c) for c in docs.columns))
 
 
 def leaked_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
