@@ -5,8 +5,8 @@ allows around pivots drawn from the corpus would reach every region: a bare Voro
 replicates everything. The cut is therefore made in two steps.
 
 * Outer regions come from a lossless split of the space: sets of close size are cut into
-  ``slack + 1`` slices by hash, where ``slack`` is the most elements that linked sets can
-  differ by, so linked sets agree in some slice. Sets that agree in a slice share a region.
+  more slices by hash than the elements that linked sets can differ by, so linked sets agree
+  in some slice. Sets that agree in a slice share a region.
 * Within regions, the least document of a slice is its pivot. Documents go to their pivots,
   their distance is computed exactly, and those within the radius are joined to it. What lies
   across cells is left: a region whose documents are not all connected is joined again, by
@@ -36,6 +36,8 @@ SHINGLE = 3
 PERCENT = 90
 #: Documents of a region that one task compares; larger regions are cut into pairs of parts.
 REGION = 2000
+#: Slices beyond the least number, in hundredths of it, so that empty ones need not be sent.
+SPARE = 12
 _PER_BLOCK = 120_000
 _SLICES = 1
 
@@ -109,16 +111,22 @@ def slice_prints(sets: _Sets, rows: np.ndarray, percent: int):
     hashes, owners = [], []
     for step in (0, 1):
         kind = own + step
-        width = slack(ends[kind], percent) + 1
+        most = slack(ends[kind], percent)
+        width = most + 1 + -(-most * SPARE // 100)
         begin = np.cumsum(width) - width
         place = begin[value_rows] + (values >> np.uint64(32)).astype(np.int64) % width[value_rows]
         sums = np.zeros(int(width.sum()), dtype=np.uint64)
         np.add.at(sums, place, G.mix(values))
         which = np.repeat(np.arange(len(rows)), width)
+        # Linked sets agree in at least width - most slices. A set with fewer empty ones than
+        # that agrees in a full one; a set with more has them in common with its partner.
+        full = np.bincount(place, minlength=len(sums)) > 0
+        empty = np.bincount(which, weights=~full, minlength=len(rows))
+        sent = full | (empty >= width - most)[which]
         number = np.arange(len(which)) - begin[which]
         label = (ends[kind][which].astype(np.uint64) << np.uint64(24)) + number.astype(np.uint64)
-        hashes.append(G.mix(sums + G.mix(label)))
-        owners.append(rows[which])
+        hashes.append(G.mix(sums + G.mix(label))[sent])
+        owners.append(rows[which][sent])
     return np.concatenate(hashes), np.concatenate(owners)
 
 
