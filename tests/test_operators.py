@@ -183,12 +183,24 @@ def test_file_order_is_exact_over_many_files(spark, trip_files):
     ]
 
 
-def test_file_order_without_a_broadcast(spark, trip_files, monkeypatch):
-    monkeypatch.setattr("tripstrata.operators.replay.MAX_BROADCAST_BYTES", 0)
-    rows = in_file_order(spark, trip_files).collect()
+def test_file_order_without_a_broadcast(spark, trip_files):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        rows = in_file_order(spark, trip_files).collect()
+    finally:
+        spark.conf.set(name, before)
     assert sorted((r.VendorID, r.ordinal) for r in rows) == [(n, n + 1) for n in range(100)]
 
 
+def test_file_order_goes_by_number(spark, tmp_path):
+    path = f"{tmp_path}/many"
+    spark.range(0, 1105, 1, 1).write.option("maxRecordsPerFile", 1).parquet(path)
+    rows = in_file_order(spark, path).collect()
+    assert all(r.ordinal == r.id + 1 for r in rows) and len(rows) == 1105
+
+
 def test_file_order_does_not_depend_on_splits(spark, tmp_path):
     path = f"{tmp_path}/split"
     spark.range(0, 20000, 1, 1).write.option("parquet.block.size", 4096).parquet(path)

@@ -10,14 +10,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def speed_is_undefined(minutes: Column, distance: Column) -> Column:
-    """True where the duration or the distance is missing, zero or negative."""
-    return minutes.isNull() | distance.isNull() | (minutes <= 0.0) | (distance <= 0.0)
+def _moves(minutes: Column, distance: Column) -> Column:
+    return (minutes > 0) & (distance > 0)
 
 
 def trip_speed(minutes: Column, distance: Column) -> Column:
-    """Distance per hour, null where it is undefined."""
-    undefined = speed_is_undefined(minutes, distance)
-    return F.when(undefined, F.lit(None).cast("double")).otherwise(
-        distance / (minutes / F.lit(60.0))
-    )
+    """Distance per hour of a trip that takes time and covers ground; of others there is none."""
+    return F.when(_moves(minutes, distance), distance / (minutes / F.lit(60.0)))
+
+
+def speed_is_undefined(minutes: Column, distance: Column) -> Column:
+    """True where a trip has no speed."""
+    return ~F.coalesce(_moves(minutes, distance), F.lit(False))

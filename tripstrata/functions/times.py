@@ -24,4 +24,4 @@ def iso_text(time: Column) -> Column:
 
 def duration_minutes(start: Column, end: Column) -> Column:
     """Minutes from ``start`` to ``end``, counted in whole seconds."""
-    return (F.unix_timestamp(end) - F.unix_timestamp(start)) / F.lit(60.0)
+    return (F.unix_seconds(end) - F.unix_seconds(start)) / F.lit(60.0)

@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Parts that the lookup is dealt into ahead of the join.
+LOOKUP_PARTS = 8
+
+
 def zone_names(zones: DataFrame) -> DataFrame:
     """The lookup with one name per id, so that a join can never multiply trips."""
     return zones.groupBy("LocationID").agg(F.min("Zone").alias("Zone"))
@@ -15,10 +19,11 @@ def with_zone(trips: DataFrame, zones: DataFrame, id_column: str, zone_column: s
     """Add the zone name of ``id_column``; trips without a match keep a null name.
 
     There is no broadcast hint: Spark broadcasts a lookup below
-    ``spark.sql.autoBroadcastJoinThreshold``, and sort-merges a larger one, where
-    adaptive execution splits a hot location.
+    ``spark.sql.autoBroadcastJoinThreshold``, and sort-merges a larger one. Adaptive execution
+    splits a hot location only where no aggregate stands between exchange and join, so the
+    names are dealt out again, not by id.
     """
-    role = zone_names(zones).select(
+    role = zone_names(zones).repartition(LOOKUP_PARTS).select(
         F.col("LocationID").alias("_zone_id"), F.col("Zone").alias(zone_column)
     )
     return trips.join(role, F.col(id_column) == F.col("_zone_id"), "left").drop("_zone_id")

@@ -8,6 +8,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The variables and, below, the settings that the connectors read.
+CREDENTIALS = ("AWS_ACCESS_KEY_ID", "AWS_SECRET_ACCESS_KEY")
+
 TARGET_SHUFFLE_BYTES = 128 * 1024 * 1024
 
 # The driver keeps a size for every pair of scan task and shuffle partition, and each pair
@@ -39,9 +42,10 @@ def object_store_settings(
     Credentials come from the environment and are checked before Spark starts.
     """
     env = os.environ if env is None else env
-    access, secret = env.get("AWS_ACCESS_KEY_ID", ""), env.get("AWS_SECRET_ACCESS_KEY", "")
-    if not access or not secret:
-        raise RuntimeError("set AWS_ACCESS_KEY_ID and AWS_SECRET_ACCESS_KEY for the object store")
+    missing = [name for name in CREDENTIALS if not env.get(name)]
+    if missing:
+        raise RuntimeError(f"the object store needs {' and '.join(missing)} to be set")
+    access, secret = (env[name] for name in CREDENTIALS)
     prefix = f"spark.sql.catalog.{catalog}"
     return {
         "spark.sql.extensions": "org.apache.iceberg.spark.extensions.IcebergSparkSessionExtensions",
