@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -241,16 +242,18 @@ def quality_scores(
             )
 
     if carry:
-        # Read, measured and scored in one pass, so that no text is shuffled.
+        # Read, measured and scored in one pass, so that no text is shuffled; the text is
+        # taken from the struct, so that a batch holds it once.
         both = docs.select(
             F.col(id_col).cast("long").alias("doc_id"),
-            F.col(text_col).alias("text"),
             F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("rest"),
         )
+        place = [c.lower() for c in docs.columns].index(text_col.lower())
 
         def measure_and_score(batches):
             for batch in batches:
-                found = [statistics(part) for _, part in G.slices(G.texts(batch["text"]))]
+                column = pc.struct_field(batch["rest"], [place])
+                found = [statistics(part) for _, part in G.slices(G.texts(column))]
                 scores = [trees.scores(x) for x in found] or [np.zeros(0)]
                 yield pa.RecordBatch.from_arrays(
                     [batch["doc_id"], batch["rest"], pa.array(np.concatenate(scores), pa.float64())],

@@ -37,16 +37,20 @@ def power(base: np.uint64, n: int) -> np.uint64:
     return np.uint64(pow(int(base), n, 1 << 64))
 
 
-@cache
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, dtype=np.uint64)
-    out[0] = 1
+    out[:1] = 1
     return np.multiply.accumulate(out)
 
 
+_kept_powers = cache(_powers)
+
+
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    """The first ``n`` powers modulo 2**64; tables are kept by size class."""
-    return _powers(int(base), max(SLICE_BYTES, 1 << (n + 1).bit_length()))[:n]
+    """The first ``n`` powers modulo 2**64; only the table for a slice is kept."""
+    if n > SLICE_BYTES + 1:
+        return _powers(int(base), n)
+    return _kept_powers(int(base), SLICE_BYTES + 1)[:n]
 
 
 @dataclass
@@ -136,7 +140,12 @@ def gram_hashes(codes: np.ndarray, k: int) -> np.ndarray:
 
 
 def word_hashes(part: Texts, spans: Words) -> np.ndarray:
-    return span_hashes(prefix_codes(part.data), spans.start, spans.end)
+    """Hashes of all words, worked out a slice of texts at a time."""
+    out = np.empty(len(spans.start), dtype=np.uint64)
+    for first, some in slices(part):
+        lo, (a, b) = part.offsets[first], spans.first[[first, first + len(some)]]
+        out[a:b] = span_hashes(prefix_codes(some.data), spans.start[a:b] - lo, spans.end[a:b] - lo)
+    return out
 
 
 def chain(hashes: np.ndarray, k: int) -> np.ndarray:
