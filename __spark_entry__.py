@@ -6,7 +6,7 @@ import sys
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -18,6 +18,7 @@ from tripstrata.fixtures import (  # noqa: E402
     write_in_order,
     zones,
 )
+from tripstrata.functions.events import parse_event  # noqa: E402
 from tripstrata.functions.speed import speed_is_undefined  # noqa: E402
 from tripstrata.operators.aggregate import column_fill, row_counts, speed_stats  # noqa: E402
 from tripstrata.operators.cleaning import (  # noqa: E402
@@ -58,6 +59,8 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 TOPIC = "trips"
 REPLAY_RATE = 5.0
 REPLAY_PASSES = 3
+#: Events of one window of the paced replay.
+PACED_SHARE = 40_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -332,12 +335,46 @@ def replay_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replay_progress_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = replay(spark, _trip_file(spark, sf_dir), REPLAY_RATE)
+    events = to_wire(replay(spark, _trip_file(spark, sf_dir), REPLAY_RATE))
     return replay_progress(events, REPLAY_RATE).withColumn(
         "events_per_second", F.round("events_per_second", 6)
     )
 
 
+def _paced(spark: SparkSession, sf_dir: str, passes: int) -> DataFrame:
+    """Events that the replay job sent, with the number of the window they arrived in."""
+    root = new_folder(spark, "paced")
+    # Windows go out as fast as they can; their size is what the rate and trigger give.
+    job = jobs.start_paced_replay(
+        spark,
+        _trip_file(spark, sf_dir),
+        f"{root}/staging",
+        f"{root}/topic",
+        rate=PACED_SHARE * 20.0,
+        passes=passes,
+        trigger_seconds=0.05,
+    )
+    job.run_to_end()
+    sent = read_topic(spark, f"{root}/topic")
+    # One row per window: windows have a time each, and arrive one after the other.
+    times = sent.select("timestamp").distinct()
+    rank = F.row_number().over(Window.orderBy("timestamp")).cast("long") - 1
+    rows = sent.select("timestamp", "offset", parse_event(F.col("value")).alias("event"))
+    return rows.join(times.withColumn("batch", rank), "timestamp").select(
+        (F.col("offset") + 1).alias("ordinal"),
+        "batch",
+        *(F.col(f"event.{c}") for c in _REPLAY_COLUMNS[2:]),
+    )
+
+
+def replay_paced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _paced(spark, sf_dir, 1)
+
+
+def replay_paced_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _paced(spark, sf_dir, REPLAY_PASSES)
+
+
 _QUERIES: dict[str, Query] = {
     "zone_lookup": zone_lookup,
     "trip_scan": trip_scan,
@@ -366,6 +403,8 @@ _QUERIES: dict[str, Query] = {
     "replay_schedule": replay_schedule,
     "replay_passes": replay_passes,
     "replay_progress": replay_progress_query,
+    "replay_paced": replay_paced,
+    "replay_paced_passes": replay_paced_passes,
 }
 
 
@@ -678,10 +717,27 @@ _TWINS: dict[str, str] = {
     "replay_progress": _with(
         _FIXTURES,
         _NUMBERED,
-        select=f"""SELECT report, sent, (sent - 1) / CAST({REPLAY_RATE} AS DOUBLE) AS elapsed_seconds,
-            CASE WHEN sent > 1 THEN round(sent / ((sent - 1) / CAST({REPLAY_RATE} AS DOUBLE)), 6)
+        select=f"""SELECT report, n AS sent, tpep_pickup_datetime, "PULocationID", "DOLocationID",
+            fare_amount, (n - 1) / CAST({REPLAY_RATE} AS DOUBLE) AS elapsed_seconds,
+            CASE WHEN n > 1 THEN round(n / ((n - 1) / CAST({REPLAY_RATE} AS DOUBLE)), 6)
             END AS events_per_second
-            FROM (SELECT CAST(ceil(n / CAST(100 AS DOUBLE)) AS BIGINT) AS report,
-                         max(n) AS sent FROM numbered GROUP BY 1)""",
+            FROM (SELECT *, CASE WHEN n = 1 THEN 0 ELSE CAST(ceil(n / CAST(100 AS DOUBLE)) AS BIGINT)
+                            END AS report FROM numbered)
+            WHERE n = 1 OR n % 100 = 0 OR n = total""",
+    ),
+    "replay_paced": _with(
+        _FIXTURES,
+        _NUMBERED,
+        select=f"""SELECT n AS ordinal, (n - 1) // {PACED_SHARE} AS batch,
+            "VendorID", tpep_pickup_datetime, "PULocationID", "DOLocationID", fare_amount
+            FROM numbered""",
+    ),
+    "replay_paced_passes": _with(
+        _FIXTURES,
+        _NUMBERED,
+        select=f"""SELECT (p - 1) * total + n AS ordinal,
+            ((p - 1) * total + n - 1) // {PACED_SHARE} AS batch,
+            "VendorID", tpep_pickup_datetime, "PULocationID", "DOLocationID", fare_amount
+            FROM numbered, range(1, {REPLAY_PASSES + 1}) AS passes(p)""",
     ),
 }

@@ -227,8 +227,14 @@ def test_replay_schedule(spark, trip_files):
 def test_replay_progress(spark, trip_files):
     events = replay(spark, trip_files, rate=5.0, passes=1)
     rows = replay_progress(events, rate=5.0, every=40).orderBy("sent").collect()
-    assert [(r.sent, r.elapsed_seconds) for r in rows] == [(40, 7.8), (80, 15.8), (100, 19.8)]
-    assert rows[0].events_per_second == pytest.approx(40 / 7.8)
+    assert [(r.sent, r.elapsed_seconds) for r in rows] == [
+        (1, 0.0),
+        (40, 7.8),
+        (80, 15.8),
+        (100, 19.8),
+    ]
+    assert [r.report for r in rows] == [0, 1, 2, 3]
+    assert rows[1].events_per_second == pytest.approx(40 / 7.8)
     first = replay_progress(events.filter("ordinal = 1")).first()
     assert first.elapsed_seconds == 0.0 and first.events_per_second is None
 

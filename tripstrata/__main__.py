@@ -11,8 +11,7 @@ from tripstrata.operators.guards import MissingInput
 from tripstrata.plans import jobs
 from tripstrata.plans.layers import CatalogLayers, Layers
 from tripstrata.sources.session import build_session, object_store_settings
-from tripstrata.streaming.bronze import ingest_progress, run_until_stopped
-from tripstrata.streaming.replay import run_to_end
+from tripstrata.streaming.bronze import run_until_stopped
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -33,7 +32,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     replay.add_argument("--data", required=True)
     replay.add_argument("--staging", required=True, help="folder for the cut file and progress")
     replay.add_argument("--rate", type=float, default=5.0, help="events per second")
-    replay.add_argument("--passes", type=int, default=1)
+    runs = replay.add_mutually_exclusive_group()
+    runs.add_argument("--passes", type=int, default=1)
+    runs.add_argument("--loop", action="store_true", help="pass after pass until interrupted")
     replay.add_argument("--trigger-seconds", type=int, default=10)
     bronze = job.add_parser("bronze", help="stream events into bronze")
     bronze.add_argument("--available-now", action="store_true", help="end when all is taken")
@@ -74,7 +75,7 @@ def _run(args: argparse.Namespace, spark: SparkSession) -> None:
     if args.job == "publish":
         jobs.publish_trips(spark, args.data, args.location, args.topic, args.format, options)
     elif args.job == "replay":
-        query = jobs.start_paced_replay(
+        replay = jobs.start_paced_replay(
             spark,
             args.data,
             args.staging,
@@ -82,11 +83,11 @@ def _run(args: argparse.Namespace, spark: SparkSession) -> None:
             args.topic,
             args.format,
             args.rate,
-            args.passes,
+            None if args.loop else args.passes,
             args.trigger_seconds,
         )
-        run_to_end(query)
-        for batch in ingest_progress(query):
+        replay.run_to_end()
+        for batch in replay.progress():
             print(batch)
     elif args.job == "bronze":
         trigger = None if args.available_now else jobs.TRIGGER
