@@ -47,3 +47,19 @@ def test_matching_pairs_the_most_nodes():
     b = ["b", None, [["p", None, [["q", None, []]]], ["z", None, []], ["y", None, []]]]
     assert wrappers.matching(a, b) == (4, [(1, 0), (2, 2)])
     assert [c[0] for c in wrappers.merge(a, b)[2]] == ["x", "p", "z", "y"]
+
+
+def _texts(spark, pages):
+    docs = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    return {r.page_id: r.text for r in wrappers.extract_main_text(docs).collect()}
+
+
+def test_blocks_of_one_page_are_content_and_of_nearly_all_template(spark):
+    page = "<body><p>Top text</p><article><h1>Head {i}</h1>{own}<p>Body {i}</article>"
+    own = {3: "<h2>Only here</h2><blockquote>Said once</blockquote><table><tr><td>Cell</table>"}
+    pages = [(i, "http://a.org/", page.format(i=i, own=own.get(i, ""))) for i in range(11)]
+    pages = [(i, u, h.replace("<p>Body", "<div>Common</div><p>Body") if i != 5 else h) for i, u, h in pages]
+    pages += [(20 + i, "http://a.org/", pages[4][2]) for i in range(200)]
+    got = _texts(spark, pages)
+    assert got[3] == "Head 3\nOnly here\nSaid once\nCell\nBody 3"
+    assert got[0] == "Head 0\nBody 0" and got[4] == got[25] == "Head 4\nBody 4"

@@ -3,8 +3,10 @@
 A page becomes a tree of its block elements; inline elements are part of their block, and
 like siblings in a row are one repeated node. The trees of a host's pages are aligned by
 simple tree matching and merged: every task merges its own pages first, and only one small
-tree per host and task is shuffled, so a host may have any number of pages. A node whose
-text is the same on all pages is template, a node whose text varies is a content slot.
+tree per host and task is shuffled, so a host may have any number of pages. Nodes that are
+aligned have the same elements above them, so blocks are compared under that path: a block is
+template if the same text stands there on nearly all different pages of the host, which are
+counted; copies of a page count once. All other blocks are content.
 A page is then aligned with its host's wrapper, and the text of content slots is kept, without
 what stands in menus, headers, footers, side bars, notices, adverts, forms, scripts, styles
 and comments, which vary from page to page too and are told by element and class.
@@ -16,6 +18,7 @@ its text alone. Cut-off markup at the end is dropped. Tables without rows give n
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
@@ -29,6 +32,8 @@ from tripstrata.llm.blocks import keep
 
 #: Different pages of a host from which unchanging text counts as template.
 MIN_PAGES = 10
+#: Share of a host's different pages on which a block must stand to be template.
+NEARLY_ALL = 0.9
 #: Hosts a task merges before it passes on what it has, and how widely partial trees are dealt.
 HOSTS_HELD, SPREAD = 20_000, 64
 
@@ -65,10 +70,11 @@ VARIES = "*"
 
 
 class Node:
-    __slots__ = ("label", "children", "blocks")
+    __slots__ = ("label", "path", "children", "blocks")
 
-    def __init__(self, label: str) -> None:
-        self.label, self.children, self.blocks = label, [], []
+    def __init__(self, label: str, above: str = "") -> None:
+        self.label, self.path = label, f"{above}/{label}"
+        self.children, self.blocks = [], []
 
 
 def _label(name: str, rest: str) -> str:
@@ -110,7 +116,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
         if name in CLOSES:
             _close(stack, CLOSES[name], within=True)
         _close(stack, ("p",), within=True)
-        node = Node(_label(name, found["rest"]))
+        node = Node(_label(name, found["rest"]), stack[-1].path)
         stack[-1].children.append(node)
         if name in RAW:
             stop = re.compile(f"</{name}[^>]*(?:>|\\Z)", re.I).search(page, at)
@@ -134,6 +140,16 @@ def _close(stack: list[Node], names: tuple[str, ...], within: bool = False) -> N
             return
 
 
+def _hash(*parts: str) -> int:
+    digest = hashlib.blake2b("\n".join(parts).encode("utf-8", "replace"), digest_size=8).digest()
+    return int.from_bytes(digest, "big", signed=True)
+
+
+def block_keys(blocks: list[tuple[Node, str]]) -> list[int]:
+    """For every block a hash of the elements above it and of its text."""
+    return [_hash(node.path, words) for node, words in blocks]
+
+
 # A wrapper's node: [label, text, children]; text is None, the one text seen, or VARIES.
 
 
@@ -209,8 +225,8 @@ def has_main(node: list) -> bool:
 
 
 @lru_cache(maxsize=4096)
-def content_slots(wrapper: str, enough: bool, shape: str) -> tuple[bool, ...]:
-    """For every node of a page's shape, in document order: does it hold content?"""
+def content_slots(wrapper: str, shape: str) -> tuple[bool, ...]:
+    """For every node of a page's shape, in document order: may it hold content?"""
     tree, page = json.loads(wrapper), json.loads(shape)
     inside_main = not has_main(page)
     out: list[bool] = []
@@ -218,8 +234,7 @@ def content_slots(wrapper: str, enough: bool, shape: str) -> tuple[bool, ...]:
     def walk(node: list, part: list | None, ok: bool, main: bool) -> None:
         ok = ok and not is_boilerplate(node[0])
         main = main or node[0].split(".")[0] in MAIN
-        fixed = enough and part is not None and part[1] not in (None, VARIES)
-        out.append(ok and main and not fixed)
+        out.append(ok and main)
         of = {i: part[2][j] for i, j in matching(node, part)[1]} if part else {}
         for i, child in enumerate(node[2]):
             walk(child, of.get(i), ok, main)
@@ -228,12 +243,12 @@ def content_slots(wrapper: str, enough: bool, shape: str) -> tuple[bool, ...]:
     return tuple(out)
 
 
-def main_text(page: str, wrapper: str | None, enough: bool) -> str:
-    """Blocks in content slots of one page; without a wrapper the page is its own."""
+def main_text(page: str, wrapper: str | None, fixed: frozenset[int] = frozenset()) -> str:
+    """Blocks in content slots but the ``fixed``; without a wrapper the page is its own."""
     root, blocks = parse(page)
     shape = skeleton(root)
     bare = json.dumps(_bare(shape))
-    flags = content_slots(wrapper or bare, bool(wrapper) and enough, bare)
+    flags = content_slots(wrapper or bare, bare)
     wanted: dict[int, bool] = {}
     spot = 0
 
@@ -247,7 +262,10 @@ def main_text(page: str, wrapper: str | None, enough: bool) -> str:
             walk(group)
 
     walk([root])
-    return "\n".join(words for node, words in blocks if wanted[id(node)])
+    keys = block_keys(blocks) if fixed else [0] * len(blocks)
+    return "\n".join(
+        words for (node, words), k in zip(blocks, keys) if wanted[id(node)] and k not in fixed
+    )
 
 
 def _bare(node: list) -> list:
@@ -284,85 +302,97 @@ def _host(url_col: str):
     return F.coalesce(F.lower(found), F.lit(""))
 
 
-_PARTIAL = "host string, wrapper string, first string, varied boolean, n_pages long"
+_PARTIAL = "host string, wrapper string"
+_BLOCKS = "page long, block long"
+#: Block of every page, to count pages by.
+PAGE = 0
 
 
 def learn_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One wrapper per host, merged from all its pages, with the number of pages."""
+    """One wrapper per host, merged from all its pages, and its template blocks in ``fixed``."""
     rows = pages.select(_host(url_col).alias("host"), F.col(html_col).alias("html"))
 
     def partial(batches):
-        held: dict[str, tuple] = {}
+        held: dict[str, list] = {}
         for batch in batches:
+            hosts, ones, keys = [], [], []
             for host, page in zip(batch["host"].to_pylist(), batch["html"].to_pylist()):
-                made = skeleton(parse(page or "")[0])
-                held[host] = _combine(held.get(host), (made, json.dumps(made), False, 1))
+                root, blocks = parse(page or "")
+                made = skeleton(root)
+                held[host] = merge(held[host], made) if host in held else made
+                own = block_keys(blocks)
+                distinct = {PAGE, *own}
+                hosts += [host] * len(distinct)
+                ones += [_hash(*map(str, own))] * len(distinct)
+                keys += distinct
                 if len(held) >= HOSTS_HELD:
-                    yield _wrapper_rows(held)
+                    yield _partial_rows(list(held), list(map(json.dumps, held.values())))
                     held = {}
-        yield _wrapper_rows(held)
+            yield _partial_rows(hosts, None, ones, keys)
+        yield _partial_rows(list(held), list(map(json.dumps, held.values())))
 
     def combine(table: pa.Table) -> pa.Table:
-        total, host = None, table["host"][0].as_py()
-        for r in table.to_pylist():
-            part = json.loads(r["wrapper"]), r["first"], r["varied"], r["n_pages"]
-            total = _combine(total, part)
-        return pa.Table.from_batches([_wrapper_rows({host: total})])
-
-    parts = rows.mapInArrow(partial, _PARTIAL).withColumn(
-        "salt", F.pmod(F.spark_partition_id(), F.lit(SPREAD))
+        host, total = table["host"][0].as_py(), None
+        for part in map(json.loads, table["wrapper"].to_pylist()):
+            total = part if total is None else merge(total, part)
+        return pa.table({"host": pa.array([host]), "wrapper": pa.array([json.dumps(total)])})
+
+    read = keep(rows.mapInArrow(partial, f"{_PARTIAL}, {_BLOCKS}"), "blocks")
+    parts = read.where("wrapper is not null").select(
+        "host", "wrapper", F.pmod(F.xxhash64("wrapper"), F.lit(SPREAD)).alias("salt")
     )
-    names = [F.col(c) for c in ("host", "wrapper", "first", "varied", "n_pages")]
     some = parts.groupBy("host", "salt").applyInArrow(
         lambda table: combine(table.drop(["salt"])), _PARTIAL
     )
-    return some.select(*names).groupBy("host").applyInArrow(combine, _PARTIAL).select(
-        "host", "wrapper", "varied", "n_pages"
-    )
+    trees = some.groupBy("host").applyInArrow(combine, _PARTIAL)
+    return trees.join(_template_blocks(read.where("wrapper is null")), "host", "left")
 
 
-def _combine(a: tuple | None, b: tuple) -> tuple:
-    if a is None:
-        return b
-    return merge(a[0], b[0]), min(a[1], b[1]), a[2] or b[2] or a[1] != b[1], a[3] + b[3]
+def _template_blocks(read: DataFrame) -> DataFrame:
+    """Of every host with enough pages the blocks that stand on nearly all of them."""
+    counts = read.select("host", "block", "page").distinct().groupBy("host", "block")
+    # Pages of which all are different; blocks of a single one are never template.
+    counts = counts.agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    hosts = counts.where(F.col("block") == PAGE).select("host", F.col("n").alias("n_pages"))
+    found = counts.where(F.col("block") != PAGE).join(hosts.where(F.col("n_pages") >= MIN_PAGES), "host")
+    found = found.where(F.col("n") >= NEARLY_ALL * F.col("n_pages"))
+    return found.groupBy("host").agg(F.collect_list("block").alias("fixed"))
 
 
-def _wrapper_rows(held: dict[str, tuple]) -> pa.RecordBatch:
-    values = list(held.values())
+def _partial_rows(hosts: list, trees: list | None, pages=None, blocks=None) -> pa.RecordBatch:
+    none = [None] * len(hosts)
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(list(held), pa.string()),
-            pa.array([json.dumps(v[0]) for v in values], pa.string()),
-            pa.array([v[1] for v in values], pa.string()),
-            pa.array([v[2] for v in values], pa.bool_()),
-            pa.array([v[3] for v in values], pa.int64()),
+            pa.array(hosts, pa.string()),
+            pa.array(none if trees is None else trees, pa.string()),
+            pa.array(none if pages is None else pages, pa.int64()),
+            pa.array(none if blocks is None else blocks, pa.int64()),
         ],
-        ["host", "wrapper", "first", "varied", "n_pages"],
+        ["host", "wrapper", "page", "block"],
     )
 
 
 def extract_main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` (code points) of every page."""
     wrappers = keep(learn_wrappers(pages, url_col, html_col), "wrappers")
-    enough = (F.col("varied") & (F.col("n_pages") >= MIN_PAGES)).alias("enough")
     rows = pages.select(
         F.col("page_id"),
         F.col(url_col).cast("string").alias("url"),
         F.col(html_col).alias("html"),
         _host(url_col).alias("host"),
-    ).join(wrappers.select("host", "wrapper", enough), "host", "left")
+    ).join(wrappers, "host", "left")
 
     def extract(batches):
         for batch in batches:
-            columns = (batch[c].to_pylist() for c in ("html", "wrapper", "enough"))
-            texts = [main_text(h or "", w, bool(e)) for h, w, e in zip(*columns)]
+            columns = (batch[c].to_pylist() for c in ("html", "wrapper", "fixed"))
+            texts = [main_text(h or "", w, frozenset(f or ())) for h, w, f in zip(*columns)]
             yield pa.RecordBatch.from_arrays(
                 [batch["page_id"], batch["url"], pa.array(texts, pa.string())],
                 ["page_id", "url", "text"],
             )
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    done = rows.select("page_id", "url", "html", "wrapper", "enough").mapInArrow(
+    done = rows.select("page_id", "url", "html", "wrapper", "fixed").mapInArrow(
         extract, f"page_id {kind}, url string, text string"
     )
     return done.withColumn("n_chars", F.length("text").cast("long"))
