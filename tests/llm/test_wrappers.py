@@ -63,3 +63,27 @@ def test_blocks_of_one_page_are_content_and_of_nearly_all_template(spark):
     got = _texts(spark, pages)
     assert got[3] == "Head 3\nOnly here\nSaid once\nCell\nBody 3"
     assert got[0] == "Head 0\nBody 0" and got[4] == got[25] == "Head 4\nBody 4"
+
+
+def test_names_are_whole_words_and_not_on_main_parts(spark):
+    page = "<body class='has-sidebar single'>{}</body>"
+    parts = [
+        "<article class='post comments-open'><p>Text {i}</p><div class='long-form'><p>More {i}</div></article>",
+        "<main id='content-with-sidebar'><p>Text {i}</p><figure><figcaption>More {i}</figure></main>",
+        "<div class='form'><article class='comment'><p>Text {i}</p><p>More {i}</p></article></div>",
+        "<div class=banner><p>Text {i}</p><p>More {i}</p></div><div class='user-comments'>Yes {i}</div>",
+        "<div class='related posts'><article>Other {i}</article></div><article>Text {i}<p>More {i}</article>",
+        "<div id=ad-slot-3>Buy {i}</div><div class=no-comments><p>Text {i}<p>More {i}</div>",
+    ]
+    pages = [
+        (100 * k + i, f"http://h{k}.org/", page.format(x.format(i=i))) for k, x in enumerate(parts) for i in range(11)
+    ]
+    got = _texts(spark, pages)
+    assert got == {100 * k + i: f"Text {i}\nMore {i}" for k in range(len(parts)) for i in range(11)}
+
+
+def test_constant_runs_do_not_overrule_names(spark):
+    menu = "".join(f"<li>Link number {i}" for i in range(30))
+    page = f"<body><div class=menu><ul>{menu}</ul></div><div><p>Text {{i}}<p>More {{i}}</div>"
+    got = _texts(spark, [(i, f"http://h{i // 10}.org/", page.format(i=i)) for i in range(11)])
+    assert got == {i: f"Text {i}\nMore {i}" for i in range(11)}

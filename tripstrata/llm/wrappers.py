@@ -11,6 +11,11 @@ A page is then aligned with its host's wrapper, and the text of content slots is
 what stands in menus, headers, footers, side bars, notices, adverts, forms, scripts, styles
 and comments, which vary from page to page too and are told by element and class.
 
+A class, id or role tells such a part only by a whole word (``sidebar``) or one with agreed
+words around it (``user-comments``); ``has-sidebar`` and ``long-form`` tell nothing. Names never
+count on html, body, main and article, nor on what holds all main parts of a page, nor on a
+node whose varying text is more than half of all that its host's wrapper has.
+
 Defined results: a null html is empty; a null url has a host of its own kind, ''. Where all
 pages of a host are alike, or they are fewer than ``MIN_PAGES``, nothing counts as template by
 its text alone. Cut-off markup at the end is dropped. Tables without rows give none.
@@ -46,7 +51,7 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 RAW = frozenset("script style textarea title noscript iframe template xmp noframes".split())
 NO_CONTENT = frozenset(
     "head nav header footer aside form script style noscript iframe template textarea title button "
-    "select option menu dialog svg canvas object audio video figure xmp noframes".split()
+    "select option menu dialog svg canvas object audio video xmp noframes".split()
 )
 MAIN = frozenset(["article", "main"])
 CLOSES = {
@@ -59,6 +64,14 @@ NO_CONTENT_NAMES = frozenset(
     "widget related recommended share sharing social comment comments respond newsletter "
     "subscribe signup login search form popup modal overlay pagination copyright".split()
 )
+#: What may stand before or after such a name, parted by - or _, as digits may.
+AFFIXES = frozenset(
+    "area bar block bottom box button buttons center col column container content entry global "
+    "group holder inner item items left link links list lower main middle mobile modules outer "
+    "page panel policy posts primary region right row secondary section site slot sticky "
+    "tertiary text top unit upper user users wrap wrapper zone".split()
+)
+NEVER_NAMED = frozenset("page html body main article".split())
 
 _TAG = re.compile(
     r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)"
@@ -150,17 +163,24 @@ def block_keys(blocks: list[tuple[Node, str]]) -> list[int]:
     return [_hash(node.path, words) for node, words in blocks]
 
 
-# A wrapper's node: [label, text, children]; text is None, the one text seen, or VARIES.
+# A wrapper's node: [label, text, children, chars]; text is None, the one text seen, or VARIES,
+# and chars the length of all texts seen. Texts of one page that share a node are one text.
 
 
 def _text_of(blocks: list[str]) -> str | None:
     if not blocks:
         return None
-    return "=" + blocks[0] if len(blocks) == 1 and len(blocks[0]) <= 200 else VARIES
+    return "=" + blocks[0] if len(blocks) == 1 and len(blocks[0]) <= 200 else _one_text(*blocks)
+
 
+def _one_text(*texts: str) -> str:
+    return f"#{_hash(*texts)}"
 
-def _join_text(a: str | None, b: str | None) -> str | None:
-    return b if a is None else a if b is None or a == b else VARIES
+
+def _join_text(a: str | None, b: str | None, page: bool) -> str | None:
+    if a is None or b is None:
+        return b if a is None else a
+    return _one_text(a, b) if page else a if a == b else VARIES
 
 
 def skeleton(node: Node) -> list:
@@ -169,10 +189,10 @@ def skeleton(node: Node) -> list:
     for child in node.children:
         made = skeleton(child)
         if children and children[-1][0] == made[0]:
-            children[-1] = merge(children[-1], made)
+            children[-1] = merge(children[-1], made, page=True)
         else:
             children.append(made)
-    return [node.label, _text_of(node.blocks), children]
+    return [node.label, _text_of(node.blocks), children, sum(map(len, node.blocks))]
 
 
 def matching(a: list, b: list) -> tuple[int, list[tuple[int, int]]]:
@@ -200,46 +220,92 @@ def matching(a: list, b: list) -> tuple[int, list[tuple[int, int]]]:
     return 1 + table[-1][-1], pairs[::-1]
 
 
-def merge(a: list, b: list) -> list:
-    """One wrapper of two with the same root label; unpaired children are optional parts."""
+def merge(a: list, b: list, page: bool = False) -> list:
+    """One wrapper of two with the same root label; unpaired children are optional parts.
+
+    With ``page`` both are parts of one page, whose texts do not vary by being different.
+    """
     pairs = matching(a, b)[1]
     children, i, j = [], 0, 0
     for x, y in [*pairs, (len(a[2]), len(b[2]))]:
         children += a[2][i:x] + b[2][j:y]
         if x < len(a[2]) and y < len(b[2]):
-            children.append(merge(a[2][x], b[2][y]))
+            children.append(merge(a[2][x], b[2][y], page))
         i, j = x + 1, y + 1
-    return [a[0], _join_text(a[1], b[1]), children]
+    return [a[0], _join_text(a[1], b[1], page), children, _chars(a) + _chars(b)]
+
+
+def _chars(node: list) -> int:
+    return node[3] if len(node) > 3 else 0
+
+
+def varying(node: list, sums: dict[int, int]) -> int:
+    """Characters of varying text in a wrapper's subtree, noted for every node in ``sums``."""
+    if node[0].split(".")[0] in NO_CONTENT:
+        return 0
+    own = _chars(node) if node[1] == VARIES else 0
+    sums[id(node)] = own + sum(varying(c, sums) for c in node[2])
+    return sums[id(node)]
 
 
-def is_boilerplate(label: str) -> bool:
+def is_named(label: str) -> bool:
+    """Does a class, id or role say that the element is no content?"""
     name, *words = label.split(".")
-    parts = {p for w in words for p in (w, *re.split("[-_]", w))}
-    return name in NO_CONTENT or bool(NO_CONTENT_NAMES & parts)
+    if name in NEVER_NAMED:
+        return False
+    parts = [[p for p in re.split("[-_]+", w) if p and not p.isdigit()] for w in words]
+    return any(
+        not NO_CONTENT_NAMES.isdisjoint(p) and NO_CONTENT_NAMES.union(AFFIXES).issuperset(p)
+        for p in parts
+    )
 
 
-def has_main(node: list) -> bool:
-    if is_boilerplate(node[0]):
+def _mains(node: list, named: bool, skip: set[int], out: list) -> bool:
+    """Notes of every main part whether a name stands above it; is there one in the node?"""
+    name = node[0].split(".")[0]
+    if name in NO_CONTENT:
         return False
-    return node[0].split(".")[0] in MAIN or any(map(has_main, node[2]))
+    named = named or id(node) not in skip and is_named(node[0])
+    if name in MAIN:
+        out.append(named)
+    below = [_mains(c, named, skip, out) for c in node[2]]
+    return name in MAIN or any(below)
 
 
 @lru_cache(maxsize=4096)
 def content_slots(wrapper: str, shape: str) -> tuple[bool, ...]:
     """For every node of a page's shape, in document order: may it hold content?"""
     tree, page = json.loads(wrapper), json.loads(shape)
-    inside_main = not has_main(page)
-    out: list[bool] = []
+    sums: dict[int, int] = {}
+    total = varying(tree, sums)
+    bulk: set[int] = set()
 
-    def walk(node: list, part: list | None, ok: bool, main: bool) -> None:
-        ok = ok and not is_boilerplate(node[0])
-        main = main or node[0].split(".")[0] in MAIN
-        out.append(ok and main)
+    def weigh(node: list, part: list | None) -> None:
+        if part and 2 * sums.get(id(part), 0) > total:
+            bulk.add(id(node))
         of = {i: part[2][j] for i, j in matching(node, part)[1]} if part else {}
         for i, child in enumerate(node[2]):
-            walk(child, of.get(i), ok, main)
+            weigh(child, of.get(i))
+
+    weigh(page, tree if tree[0] == page[0] else None)
+    mains: list[bool] = []
+    inside_main = not _mains(page, False, bulk, mains)
+    # Where all main parts stand below names, these names do not count.
+    free = all(mains)
+    out: list[bool] = []
+
+    def walk(node: list, ok: bool, main: bool) -> None:
+        name = node[0].split(".")[0]
+        told = id(node) not in bulk and is_named(node[0])
+        if told and free:
+            told = not _mains(node, False, set(), [])
+        ok = ok and name not in NO_CONTENT and not told
+        main = main or name in MAIN
+        out.append(ok and main)
+        for child in node[2]:
+            walk(child, ok, main)
 
-    walk(page, tree if tree[0] == page[0] else None, True, inside_main)
+    walk(page, True, inside_main)
     return tuple(out)
 
 
