@@ -87,3 +87,18 @@ def test_constant_runs_do_not_overrule_names(spark):
     page = f"<body><div class=menu><ul>{menu}</ul></div><div><p>Text {{i}}<p>More {{i}}</div>"
     got = _texts(spark, [(i, f"http://h{i // 10}.org/", page.format(i=i)) for i in range(11)])
     assert got == {i: f"Text {i}\nMore {i}" for i in range(11)}
+
+
+def test_constant_blocks_of_any_length_and_in_runs_are_template(spark):
+    disclaimer = "All that is said here is said without any warranty at all. " * 5
+    links = "<ul><li>One fixed link<li>Another fixed link</ul>"
+    page = f"<body><div>{disclaimer}</div><h1>Head {{i}}</h1><div>{{text}}<p>{{text}} too<p>See you soon</div>{links}"
+    texts = [f"Story {i} " + f"word{i} " * 60 for i in range(12)]
+    pages = [(i, f"http://{'a' if i < 2 else 'b'}.org/", page.format(i=i, text=texts[i])) for i in range(12)]
+    near = "<p>" + "same words again and again " * 9 + "<p>"
+    pages += [(20 + i, "http://c.org/", f"{near}Number {i}") for i in range(2)]
+    got = _texts(spark, pages)
+    for i in range(12):
+        assert got[i] == f"Head {i}\n{texts[i].strip()}\n{texts[i]}too"
+    # Two pages that are nearly copies are no evidence of a template.
+    assert got[20].startswith("same words") and got[21].endswith("Number 1")

@@ -16,9 +16,13 @@ words around it (``user-comments``); ``has-sidebar`` and ``long-form`` tell noth
 count on html, body, main and article, nor on what holds all main parts of a page, nor on a
 node whose varying text is more than half of all that its host's wrapper has.
 
+Blocks of any length, several of one element and those of like siblings are all compared, from
+two different pages of a host on. Below ``MIN_PAGES`` different pages, a page that shares more
+than half of its text with nearly all others is taken for their near copy and keeps that text.
+
 Defined results: a null html is empty; a null url has a host of its own kind, ''. Where all
-pages of a host are alike, or they are fewer than ``MIN_PAGES``, nothing counts as template by
-its text alone. Cut-off markup at the end is dropped. Tables without rows give none.
+pages of a host are alike, nothing counts as template by its
+text alone. Cut-off markup at the end is dropped. Tables without rows give none.
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tripstrata.llm.blocks import keep
 
-#: Different pages of a host from which unchanging text counts as template.
+#: Different pages of a host from which unchanging text counts as template even if it is most of a page.
 MIN_PAGES = 10
 #: Share of a host's different pages on which a block must stand to be template.
 NEARLY_ALL = 0.9
@@ -309,8 +313,13 @@ def content_slots(wrapper: str, shape: str) -> tuple[bool, ...]:
     return tuple(out)
 
 
-def main_text(page: str, wrapper: str | None, fixed: frozenset[int] = frozenset()) -> str:
-    """Blocks in content slots but the ``fixed``; without a wrapper the page is its own."""
+def main_text(
+    page: str, wrapper: str | None, fixed: frozenset[int] = frozenset(), sure: bool = True
+) -> str:
+    """Blocks in content slots but the ``fixed``; without a wrapper the page is its own.
+
+    Unless ``sure``, fixed blocks stay where they are more than half of the text.
+    """
     root, blocks = parse(page)
     shape = skeleton(root)
     bare = json.dumps(_bare(shape))
@@ -329,9 +338,11 @@ def main_text(page: str, wrapper: str | None, fixed: frozenset[int] = frozenset(
 
     walk([root])
     keys = block_keys(blocks) if fixed else [0] * len(blocks)
-    return "\n".join(
-        words for (node, words), k in zip(blocks, keys) if wanted[id(node)] and k not in fixed
-    )
+    held = [(words, k in fixed) for (node, words), k in zip(blocks, keys) if wanted[id(node)]]
+    same = sum(len(words) for words, f in held if f)
+    if not sure and 2 * same > sum(len(words) for words, _ in held):
+        return "\n".join(words for words, _ in held)
+    return "\n".join(words for words, f in held if not f)
 
 
 def _bare(node: list) -> list:
@@ -375,7 +386,10 @@ PAGE = 0
 
 
 def learn_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One wrapper per host, merged from all its pages, and its template blocks in ``fixed``."""
+    """One wrapper per host, merged from all its pages, and its template blocks in ``fixed``.
+
+    ``sure`` tells whether at least ``MIN_PAGES`` different pages were compared.
+    """
     rows = pages.select(_host(url_col).alias("host"), F.col(html_col).alias("html"))
 
     def partial(batches):
@@ -415,14 +429,15 @@ def learn_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
 
 
 def _template_blocks(read: DataFrame) -> DataFrame:
-    """Of every host with enough pages the blocks that stand on nearly all of them."""
+    """Of every host with two different pages the blocks that stand on nearly all of them."""
     counts = read.select("host", "block", "page").distinct().groupBy("host", "block")
     # Pages of which all are different; blocks of a single one are never template.
     counts = counts.agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     hosts = counts.where(F.col("block") == PAGE).select("host", F.col("n").alias("n_pages"))
-    found = counts.where(F.col("block") != PAGE).join(hosts.where(F.col("n_pages") >= MIN_PAGES), "host")
+    found = counts.where(F.col("block") != PAGE).join(hosts, "host")
     found = found.where(F.col("n") >= NEARLY_ALL * F.col("n_pages"))
-    return found.groupBy("host").agg(F.collect_list("block").alias("fixed"))
+    sure = (F.max("n_pages") >= MIN_PAGES).alias("sure")
+    return found.groupBy("host").agg(F.collect_list("block").alias("fixed"), sure)
 
 
 def _partial_rows(hosts: list, trees: list | None, pages=None, blocks=None) -> pa.RecordBatch:
@@ -450,15 +465,15 @@ def extract_main_text(pages: DataFrame, url_col: str = "url", html_col: str = "h
 
     def extract(batches):
         for batch in batches:
-            columns = (batch[c].to_pylist() for c in ("html", "wrapper", "fixed"))
-            texts = [main_text(h or "", w, frozenset(f or ())) for h, w, f in zip(*columns)]
+            columns = (batch[c].to_pylist() for c in ("html", "wrapper", "fixed", "sure"))
+            texts = [main_text(h or "", w, frozenset(f or ()), bool(s)) for h, w, f, s in zip(*columns)]
             yield pa.RecordBatch.from_arrays(
                 [batch["page_id"], batch["url"], pa.array(texts, pa.string())],
                 ["page_id", "url", "text"],
             )
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    done = rows.select("page_id", "url", "html", "wrapper", "fixed").mapInArrow(
+    done = rows.select("page_id", "url", "html", "wrapper", "fixed", "sure").mapInArrow(
         extract, f"page_id {kind}, url string, text string"
     )
     return done.withColumn("n_chars", F.length("text").cast("long"))
