@@ -42,3 +42,27 @@ def test_query_finds_every_whole_copy(spark):
     copies = {(d, i) for d, t in docs.items() for i, x in items.items() if x in t}
     got = queries.op10_benchmark_decontamination(spark, sf).collect()
     assert {(r.doc_id, r.item_id) for r in got} == copies
+
+
+def _found(spark, texts, items, **more):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = decontam.find_leaks(docs, benchmark, **more).collect()
+    return {(r.doc_id, r.item_id): r.kind for r in got}
+
+
+def test_edits_that_change_the_number_of_words(spark):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(120)]
+    short, long = words[:15], words[30:89]
+    items = [" ".join(short), " ".join(long), "we went by the slow train to Rome and then ate 80 small cakes with all our old friends"]
+    texts = [
+        " ".join(["so", *short[:7], "other", *short[8:], "so"]),
+        " ".join(["so", *long[:29], "more", *long[29:], "so"]),
+        " ".join(["so", *long[:29], *long[30:], "so"]),
+        "so " + items[2].replace("Rome", "New York"),
+        "so " + items[2].replace("80", "80 thousand"),
+        " ".join(["so", *long[:20], "so"]),
+    ]
+    got = _found(spark, texts, items)
+    assert set(got) == {(0, 0), (1, 1), (2, 1), (3, 2), (4, 2)}
+    assert got[3, 2] == "changed" and got[4, 2] == "exact"

@@ -1,11 +1,15 @@
 """Benchmark items in documents, also where numbers, names or units were exchanged.
 
 Words become templates: a number, a unit after a number and a name inside a sentence stand as
-typed placeholders, other words in lower case without outer punctuation. Windows of the
-templates of both sides are joined by hash. Matches of one document and item count together
-where they lie at the same distance, so a copied passage gives one alignment. An alignment
-that covers enough of the item is checked for its slots: each value of the item must have
-become one and the same value throughout. All of it is DataFrame operations.
+typed placeholders, like ones in a row as one, other words in lower case without outer
+punctuation. Windows of the templates of both sides are joined by hash. Matches of one document
+and item count together where their distances lie within a drift of a tenth of the item's
+length and four words more, so inserted, missing or exchanged words do not part a copy; each
+window of the item counts once. Within such a band a document's matches span little more than
+the item's length, so their order is not tested beyond that. An item of at least ten windows may
+lose the windows of one word, or a fifth of all if that is more. An alignment is checked for its
+slots: each value of the item must have become one and the same value throughout. All of it is
+DataFrame operations.
 
 Windows with fewer than ``LITERALS`` plain words are no evidence, so texts of numbers or names
 alone do not match. Items whose templates give no such window are not found by this operator;
@@ -35,9 +39,16 @@ UNITS = (
     "degrees mph kmh km/h w kw kwh v a hz khz mhz ghz b kb mb gb tb"
 ).split()
 PLACEHOLDERS = "(<(?:number|unit|name)>)"
+#: Words by which distances may differ: so many, and one for each so many of the item.
+DRIFT, DRIFT_EACH = 4, 10
 _OUTER = r"[.,;:!?\"'()\[\]]+"
 
 
+def _run(kind: str) -> tuple[str, str]:
+    """Pattern and replacement that join a row of placeholders of a kind, values parted by ``=``."""
+    return rf"(?:(<{kind}>=)|\G(?<!^) <{kind}>(=))([^ ]+)", "$1$2$3"
+
+
 def valued(text: Column) -> Column:
     """Templates of all words, one space between, placeholders with their values behind ``=``."""
     steps = [
@@ -45,6 +56,8 @@ def valued(text: Column) -> Column:
         (r"(?<=[^ .!?:] )\p{Lu}[^ ]*", "<name>=$0"),
         (rf"(?:^|(?<= )){_OUTER}|{_OUTER}(?= |$)", ""),
         (r"(?:^|(?<= ))[-+$€£]?[0-9][0-9.,:/]*%?(?= |$)", "<number>=$0"),
+        _run("name"),
+        _run("number"),
         (rf"(<number>=[^ ]+ )({'|'.join(UNITS)})(?= |$)", "$1<unit>=$2"),
     ]
     out = F.coalesce(text, F.lit(""))
@@ -90,7 +103,10 @@ def _item_windows(items: DataFrame, window: int) -> DataFrame:
     plain = F.filter(
         F.slice("forms", F.col("item_at") + 1, window), lambda f: ~f.rlike(f"^{PLACEHOLDERS}$")
     )
-    return found.where(F.size(plain) >= LITERALS).select("item_row", "item_at", "hash")
+    drift = DRIFT + F.floor(F.size("forms") / DRIFT_EACH)
+    return found.where(F.size(plain) >= LITERALS).select(
+        "item_row", "item_at", "hash", drift.cast("long").alias("drift")
+    )
 
 
 def find_leaks(
@@ -112,7 +128,10 @@ def find_leaks(
     )
     items = keep(items, "items")
     told = keep(_item_windows(items, window), "item-windows")
-    sizes = told.groupBy("item_row").agg(F.count(F.lit(1)).alias("n_windows"))
+    n = F.count(F.lit(1)).cast("long")
+    sizes = told.groupBy("item_row").agg(n.alias("n_windows"), F.max("drift").alias("drift"))
+    sizes = sizes.withColumn("needed", _needed(F.col("n_windows"), window, share))
+    told = told.drop("drift")
     if told.count() <= BROADCAST_WINDOWS:
         told = F.broadcast(told)
     rows = docs.select(
@@ -124,13 +143,19 @@ def find_leaks(
         "row_key", "doc_id", F.posexplode(window_hashes(F.col("text"), window)).alias("at", "hash")
     )
     found = windows.join(told, "hash").withColumn("shift", F.col("at") - F.col("item_at"))
-    place = ["row_key", "doc_id", "item_row", "shift"]
-    # At one distance each window of an item matches once; equal rows match twice.
-    matched = F.size(F.collect_set("item_at")).cast("long").alias("n_matched")
-    lines = found.groupBy(*place).agg(matched).join(sizes, "item_row")
-    lines = keep(lines.where(F.col("n_matched") >= share * F.col("n_windows")), "alignments")
-    keys = [c for c in place if c != "doc_id"]
-    judged = lines.join(_steadiness(lines, items, rows, keys), keys, "left")
+    place = ["row_key", "doc_id", "item_row"]
+    lines = found.groupBy(*place, "shift").agg(F.collect_set("item_at").alias("ats"))
+    lines = lines.join(sizes, "item_row")
+    # Bands of twice the drift, each half over the next: any two distances within it share one.
+    band = F.floor(F.col("shift") / F.col("drift"))
+    bands = lines.withColumn("band", F.explode(F.array(band, band - 1)))
+    matched = F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).cast("long")
+    bands = bands.groupBy(*place, "n_windows", "needed", "band").agg(
+        matched.alias("n_matched"), F.collect_list(F.struct("shift", "ats")).alias("lines")
+    )
+    lines = keep(bands.where("n_matched >= needed"), "alignments")
+    keys = ["row_key", "item_row", "band"]
+    judged = lines.join(_steadiness(lines, items, rows, keys, window), keys, "left")
     best = judged.where(F.coalesce("steady", F.lit(True))).groupBy("row_key", "doc_id", "item_row")
     best = best.agg(
         F.max("n_matched").alias("n_matched"),
@@ -146,17 +171,41 @@ def find_leaks(
     )
 
 
-def _steadiness(lines: DataFrame, items: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+def _needed(n: Column, window: int, share: float) -> Column:
+    """Windows of an item's ``n`` that must match: one word touches up to ``window`` of them."""
+    one_edit = F.greatest(F.least(n * share, n - window), n / 2)
+    return F.ceil(F.when(n > window, one_edit).otherwise(n * share))
+
+
+def _steadiness(
+    lines: DataFrame, items: DataFrame, rows: DataFrame, keys: list[str], window: int
+) -> DataFrame:
     """For alignments of items with slots: does each value become one value, and the same?"""
     values = items.select("item_row", F.posexplode(slots_of(F.col("text"))).alias("item_at", "old"))
-    wanted = lines.join(values.where("old is not null"), "item_row")
+    values = values.where("old is not null")
+    each = lines.select(*keys, F.explode("lines").alias("line")).select(*keys, "line.*")
+    hits = each.select(*keys, "shift", F.explode("ats").alias("first"))
+    covered = hits.select(
+        *keys,
+        "shift",
+        F.explode(F.sequence(F.col("first"), F.col("first") + (window - 1))).alias("item_at"),
+    )
+    votes = covered.groupBy(*keys, "shift", "item_at").agg(F.count(F.lit(1)).alias("votes"))
+    wanted = votes.join(values, ["item_row", "item_at"])
+    # Slots outside of all matched windows stand at the distance of most windows.
+    main = each.groupBy(*keys).agg(F.max_by("shift", F.size("ats")).alias("shift"))
+    wanted = wanted.unionByName(main.join(values, "item_row").withColumn("votes", F.lit(0).cast("long")))
+    wanted = wanted.groupBy(*keys, "item_at", "old").agg(F.max_by("shift", "votes").alias("shift"))
     wanted = wanted.select(*keys, "old", (F.col("item_at") + F.col("shift")).alias("at"))
     wanted = keep(wanted, "slots")
     texts = rows.join(wanted.select("row_key").distinct(), "row_key", "left_semi")
     new = texts.select("row_key", F.posexplode(slots_of(F.col("text"))).alias("at", "new"))
-    pairs = wanted.join(new.where("new is not null"), ["row_key", "at"])
-    each = pairs.groupBy(*keys, "old").agg(F.min("new").alias("lo"), F.max("new").alias("hi"))
+    pairs = wanted.join(new.where("new is not null").distinct(), ["row_key", "at"], "left")
+    each = pairs.groupBy(*keys, "old").agg(
+        F.min("new").alias("lo"), F.max("new").alias("hi"), F.bool_or(F.col("new").isNull()).alias("gone")
+    )
+    same = (F.col("lo") == F.col("old")) & (F.col("hi") == F.col("old")) & ~F.col("gone")
     return each.groupBy(*keys).agg(
-        F.every(F.col("lo") == F.col("hi")).alias("steady"),
-        F.every((F.col("lo") == F.col("old")) & (F.col("hi") == F.col("old"))).alias("same"),
+        F.every(F.coalesce(F.col("lo") == F.col("hi"), F.lit(True))).alias("steady"),
+        F.every(F.coalesce(same, F.lit(False))).alias("same"),
     )
