@@ -66,3 +66,19 @@ def test_edits_that_change_the_number_of_words(spark):
     got = _found(spark, texts, items)
     assert set(got) == {(0, 0), (1, 1), (2, 1), (3, 2), (4, 2)}
     assert got[3, 2] == "changed" and got[4, 2] == "exact"
+
+
+def test_items_without_template_windows(spark):
+    items = ["What is 7 times 8", "The Old Man And The Sea By Ernest Hemingway", "12 + 30 = 42 and 1 2 3", "Why so", ITEM]
+    texts = [
+        "He said: what is 7 times 8?",
+        "read The Old Man And The Sea By Ernest Hemingway, soon",
+        "solve 12 + 30 = 42 and 1 2 3 now",
+        "but why so?",
+        "some text " + ITEM.upper(),
+        "some text " + ITEM.lower() + " more",
+        "what is 7 times 9 and why is it so",
+    ]
+    assert set(_found(spark, texts, items, kinds=decontam.KINDS)) == {
+        *((i, min(i, 4)) for i in range(6)), (6, 0)
+    }

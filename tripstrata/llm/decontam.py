@@ -11,8 +11,10 @@ lose the windows of one word, or a fifth of all if that is more. An alignment is
 slots: each value of the item must have become one and the same value throughout. All of it is
 DataFrame operations.
 
-Windows with fewer than ``LITERALS`` plain words are no evidence, so texts of numbers or names
-alone do not match. Items whose templates give no such window are not found by this operator;
+Template windows with fewer than ``LITERALS`` plain words are no evidence, so texts of numbers or
+names alone do not match by them. Items are therefore joined a second time by windows of their
+words as they are, in lower case, without that rule; an item shorter than a window is one window
+of its own length. Copies found by that only are of kind ``words``, and are asked for by ``kinds``;
 null texts have no words. Rows equal in id and text are one document. Tables without rows give
 none. The windows of the items are broadcast only up to ``BROADCAST_WINDOWS``, which are
 counted; beyond, both sides are shuffled.
@@ -29,6 +31,8 @@ from tripstrata.llm.rules import let
 WINDOW = 5
 SHARE = 0.8
 LITERALS = 2
+#: Kinds of evidence, the strongest first; ``find_leaks`` takes the first two if not told.
+KINDS = ("exact", "changed", "words")
 #: Item windows, of under 100 bytes each, that every executor may hold.
 BROADCAST_WINDOWS = 1_000_000
 UNITS = (
@@ -79,34 +83,63 @@ def slots_of(text: Column) -> Column:
     return F.transform(held, lambda v: F.when(v != "", v))
 
 
-def window_hashes(text: Column, window: int) -> Column:
+def words_of(text: Column) -> Column:
+    """A text's words in lower case, without outer punctuation."""
+    out = F.regexp_replace(F.coalesce(text, F.lit("")), r"[ \t\n\x0B\f\r]+", " ")
+    out = F.regexp_replace(out, rf"(?:^|(?<= )){_OUTER}|{_OUTER}(?= |$)", "")
+    return F.filter(F.split(F.lower(out), " +"), lambda w: w != "")
+
+
+def window_hashes(words: Column, window: int, *tag: Column) -> Column:
     """Hashes of the windows from every place."""
     return let(
-        forms_of(text),
+        words,
         lambda f: F.when(
             F.size(f) >= window,
             F.transform(
                 F.sequence(F.lit(1), F.size(f) - (window - 1)),
-                lambda i: F.xxhash64(F.slice(f, i, window)),
+                lambda i: F.xxhash64(F.slice(f, i, window), *tag),
             ),
         ),
     )
 
 
+def _word_hashes(words: Column, window: int) -> Column:
+    # Set apart from templates: without placeholders the two are alike.
+    return window_hashes(words, window, F.lit("words"))
+
+
 def _item_windows(items: DataFrame, window: int) -> DataFrame:
-    """Windows of the items that have enough plain words, with their places from 0."""
+    """Windows of the items' templates that have enough plain words, and of all their words.
+
+    Places count from 0. Windows of words have ``plain``, and their ``length``.
+    """
     found = items.select(
         "item_row",
         forms_of(F.col("text")).alias("forms"),
-        F.posexplode(window_hashes(F.col("text"), window)).alias("item_at", "hash"),
+        F.posexplode(window_hashes(forms_of(F.col("text")), window)).alias("item_at", "hash"),
     )
     plain = F.filter(
         F.slice("forms", F.col("item_at") + 1, window), lambda f: ~f.rlike(f"^{PLACEHOLDERS}$")
     )
-    drift = DRIFT + F.floor(F.size("forms") / DRIFT_EACH)
-    return found.where(F.size(plain) >= LITERALS).select(
-        "item_row", "item_at", "hash", drift.cast("long").alias("drift")
+    kinds = [F.lit(False).alias("plain"), F.lit(window).alias("length")]
+    found = found.where(F.size(plain) >= LITERALS).select(
+        "item_row", "item_at", "hash", _drift("forms"), *kinds
     )
+    words = items.select("item_row", words_of(F.col("text")).alias("forms")).where("size(forms) > 0")
+    whole = F.when(F.size("forms") < window, F.array(F.xxhash64("forms", F.lit("words"))))
+    words = words.select(
+        "item_row",
+        F.posexplode(F.coalesce(whole, _word_hashes(F.col("forms"), window))).alias("item_at", "hash"),
+        _drift("forms"),
+        F.lit(True).alias("plain"),
+        F.least(F.size("forms"), F.lit(window)).alias("length"),
+    )
+    return found.unionByName(words)
+
+
+def _drift(forms: str) -> Column:
+    return (DRIFT + F.floor(F.size(forms) / DRIFT_EACH)).cast("long").alias("drift")
 
 
 def find_leaks(
@@ -116,12 +149,14 @@ def find_leaks(
     share: float = SHARE,
     id_col: str = "doc_id",
     text_col: str = "text",
+    kinds: tuple[str, ...] = KINDS[:2],
 ) -> DataFrame:
     """Documents that hold a benchmark item, as one row for each of the two.
 
     ``benchmark`` has ``item_id`` and ``text``. Returns ``doc_id``, ``item_id``,
     ``n_matched`` and ``n_windows`` (of the item), and ``kind``: ``exact`` where all slots hold
-    the item's values, else ``changed``.
+    the item's values, ``changed`` where they hold others, ``words`` where only the words in
+    lower case match. Only ``kinds`` are returned, the first of :data:`KINDS` that holds.
     """
     items = benchmark.select(
         F.monotonically_increasing_id().alias("item_row"), "item_id", F.col("text").alias("text")
@@ -129,9 +164,12 @@ def find_leaks(
     items = keep(items, "items")
     told = keep(_item_windows(items, window), "item-windows")
     n = F.count(F.lit(1)).cast("long")
-    sizes = told.groupBy("item_row").agg(n.alias("n_windows"), F.max("drift").alias("drift"))
+    sizes = told.groupBy("item_row", "plain").agg(n.alias("n_windows"), F.max("drift").alias("drift"))
     sizes = sizes.withColumn("needed", _needed(F.col("n_windows"), window, share))
-    told = told.drop("drift")
+    if "words" not in kinds:
+        told = told.where("not plain")
+    lengths = [r.length for r in told.where("plain").select("length").distinct().collect()]
+    told = told.drop("drift", "length")
     if told.count() <= BROADCAST_WINDOWS:
         told = F.broadcast(told)
     rows = docs.select(
@@ -139,13 +177,21 @@ def find_leaks(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(text_col).alias("text"),
     )
-    windows = rows.select(
-        "row_key", "doc_id", F.posexplode(window_hashes(F.col("text"), window)).alias("at", "hash")
-    )
+    # Places of windows of words follow those of templates; only their distances count.
+    none = F.array().cast("array<bigint>")
+    hashes = [window_hashes(forms_of(F.col("text")), window)]
+    if lengths:
+        hashes.append(
+            let(words_of(F.col("text")), lambda w: F.concat(
+                *(F.coalesce(_word_hashes(w, n), none) for n in sorted(lengths, reverse=True))
+            ))
+        )
+    hashes = F.concat(*(F.coalesce(h, none) for h in hashes))
+    windows = rows.select("row_key", "doc_id", F.posexplode(hashes).alias("at", "hash"))
     found = windows.join(told, "hash").withColumn("shift", F.col("at") - F.col("item_at"))
-    place = ["row_key", "doc_id", "item_row"]
+    place = ["row_key", "doc_id", "item_row", "plain"]
     lines = found.groupBy(*place, "shift").agg(F.collect_set("item_at").alias("ats"))
-    lines = lines.join(sizes, "item_row")
+    lines = lines.join(sizes, ["item_row", "plain"])
     # Bands of twice the drift, each half over the next: any two distances within it share one.
     band = F.floor(F.col("shift") / F.col("drift"))
     bands = lines.withColumn("band", F.explode(F.array(band, band - 1)))
@@ -154,20 +200,24 @@ def find_leaks(
         matched.alias("n_matched"), F.collect_list(F.struct("shift", "ats")).alias("lines")
     )
     lines = keep(bands.where("n_matched >= needed"), "alignments")
-    keys = ["row_key", "item_row", "band"]
-    judged = lines.join(_steadiness(lines, items, rows, keys, window), keys, "left")
-    best = judged.where(F.coalesce("steady", F.lit(True))).groupBy("row_key", "doc_id", "item_row")
-    best = best.agg(
-        F.max("n_matched").alias("n_matched"),
-        F.max("n_windows").alias("n_windows"),
-        F.max(F.coalesce("same", F.lit(True))).alias("same"),
+    keys = ["row_key", "item_row", "plain", "band"]
+    judged = lines.join(_steadiness(lines.where("not plain"), items, rows, keys, window), keys, "left")
+    kind = (
+        F.when(F.col("plain"), 2)
+        .when(~F.coalesce("steady", F.lit(True)), None)
+        .otherwise(F.when(F.coalesce("same", F.lit(True)), 0).otherwise(1))
+    )
+    judged = judged.withColumn("kind", kind).where(
+        F.col("kind").isin([KINDS.index(k) for k in kinds])
     )
+    first = F.min_by(F.struct("n_matched", "n_windows", "kind"), F.struct("kind", -F.col("n_matched")))
+    best = judged.groupBy("row_key", "doc_id", "item_row").agg(first.alias("best"))
     return best.join(items.select("item_row", "item_id"), "item_row").select(
         "doc_id",
         "item_id",
-        "n_matched",
-        "n_windows",
-        F.when(F.col("same"), "exact").otherwise("changed").alias("kind"),
+        "best.n_matched",
+        "best.n_windows",
+        F.element_at(F.array(*map(F.lit, KINDS)), F.col("best.kind") + 1).alias("kind"),
     )
 
 
