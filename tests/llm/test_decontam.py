@@ -82,3 +82,17 @@ def test_items_without_template_windows(spark):
     assert set(_found(spark, texts, items, kinds=decontam.KINDS)) == {
         *((i, min(i, 4)) for i in range(6)), (6, 0)
     }
+
+
+def test_slots_that_do_not_hold_together(spark):
+    fruit = "A boy has 2 apples and 2 pears and asks how many fruits he has in all"
+    few = "of 2 or 2 or 2 or 2 or"
+    texts = [
+        "so " + ITEM.replace("Anna", "Eve", 1),
+        "so " + fruit.replace("2 apples", "3 apples").replace("2 pears", "5 pears"),
+        "so of 3 or 4 or 5 or 6 or",
+    ]
+    assert {k for k in _found(spark, texts, [ITEM, fruit, few])} == set()
+    got = _found(spark, texts, [ITEM, fruit, few], kinds=("exact", "changed", "mixed"))
+    assert got == {(0, 0): "mixed", (1, 1): "mixed"}
+    assert set(_found(spark, texts, [ITEM, fruit, few], kinds=decontam.KINDS)) == {(0, 0), (1, 1)}

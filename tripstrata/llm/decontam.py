@@ -8,13 +8,14 @@ length and four words more, so inserted, missing or exchanged words do not part
 window of the item counts once. Within such a band a document's matches span little more than
 the item's length, so their order is not tested beyond that. An item of at least ten windows may
 lose the windows of one word, or a fifth of all if that is more. An alignment is checked for its
-slots: each value of the item must have become one and the same value throughout. All of it is
-DataFrame operations.
+slots: where a value of the item has become several values, the alignment is of kind ``mixed``,
+and is dropped only as weak evidence: an item of fewer than ``PLAIN_ENOUGH`` plain words, or of
+fewer than it has such slots. All of it is DataFrame operations.
 
 Template windows with fewer than ``LITERALS`` plain words are no evidence, so texts of numbers or
 names alone do not match by them. Items are therefore joined a second time by windows of their
 words as they are, in lower case, without that rule; an item shorter than a window is one window
-of its own length. Copies found by that only are of kind ``words``, and are asked for by ``kinds``;
+of its own length. Copies found by that only are of kind ``words``; it and ``mixed`` are asked for by ``kinds``;
 null texts have no words. Rows equal in id and text are one document. Tables without rows give
 none. The windows of the items are broadcast only up to ``BROADCAST_WINDOWS``, which are
 counted; beyond, both sides are shuffled.
@@ -32,7 +33,9 @@ WINDOW = 5
 SHARE = 0.8
 LITERALS = 2
 #: Kinds of evidence, the strongest first; ``find_leaks`` takes the first two if not told.
-KINDS = ("exact", "changed", "words")
+KINDS = ("exact", "changed", "words", "mixed")
+#: Plain words of an item that count although its slots do not hold together.
+PLAIN_ENOUGH = 6
 #: Item windows, of under 100 bytes each, that every executor may hold.
 BROADCAST_WINDOWS = 1_000_000
 UNITS = (
@@ -156,7 +159,7 @@ def find_leaks(
     ``benchmark`` has ``item_id`` and ``text``. Returns ``doc_id``, ``item_id``,
     ``n_matched`` and ``n_windows`` (of the item), and ``kind``: ``exact`` where all slots hold
     the item's values, ``changed`` where they hold others, ``words`` where only the words in
-    lower case match. Only ``kinds`` are returned, the first of :data:`KINDS` that holds.
+    lower case match, ``mixed`` where a value became several. Only ``kinds`` are returned, the first of :data:`KINDS` that holds.
     """
     items = benchmark.select(
         F.monotonically_increasing_id().alias("item_row"), "item_id", F.col("text").alias("text")
@@ -202,9 +205,10 @@ def find_leaks(
     lines = keep(bands.where("n_matched >= needed"), "alignments")
     keys = ["row_key", "item_row", "plain", "band"]
     judged = lines.join(_steadiness(lines.where("not plain"), items, rows, keys, window), keys, "left")
+    enough = F.col("n_plain") >= F.greatest(F.lit(PLAIN_ENOUGH), "n_unsteady")
     kind = (
         F.when(F.col("plain"), 2)
-        .when(~F.coalesce("steady", F.lit(True)), None)
+        .when(~F.coalesce("steady", F.lit(True)), F.when(enough, 3))
         .otherwise(F.when(F.coalesce("same", F.lit(True)), 0).otherwise(1))
     )
     judged = judged.withColumn("kind", kind).where(
@@ -252,10 +256,15 @@ def _steadiness(
     new = texts.select("row_key", F.posexplode(slots_of(F.col("text"))).alias("at", "new"))
     pairs = wanted.join(new.where("new is not null").distinct(), ["row_key", "at"], "left")
     each = pairs.groupBy(*keys, "old").agg(
+        F.count(F.lit(1)).alias("n"),
         F.min("new").alias("lo"), F.max("new").alias("hi"), F.bool_or(F.col("new").isNull()).alias("gone")
     )
     same = (F.col("lo") == F.col("old")) & (F.col("hi") == F.col("old")) & ~F.col("gone")
+    steady = F.coalesce(F.col("lo") == F.col("hi"), F.lit(True))
+    plain = F.filter(slots_of(F.col("text")), lambda v: v.isNull())
+    plain = items.select("item_row", F.size(plain).alias("n_plain"))
     return each.groupBy(*keys).agg(
-        F.every(F.coalesce(F.col("lo") == F.col("hi"), F.lit(True))).alias("steady"),
+        F.every(steady).alias("steady"),
+        F.sum(F.when(steady, 0).otherwise(F.col("n"))).alias("n_unsteady"),
         F.every(F.coalesce(same, F.lit(False))).alias("same"),
-    )
+    ).join(plain, "item_row")
