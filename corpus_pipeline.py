@@ -46,8 +46,9 @@ def _columns(rows: DataFrame, docs: DataFrame, **new: Column) -> DataFrame:
 def leaked_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaks = decontam.find_leaks(docs, benchmark, kinds=decontam.KINDS).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    leaks = decontam.find_leaks(docs, benchmark, kinds=decontam.KINDS).select("row_key").distinct()
+    keyed = docs.withColumn("row_key", decontam.row_key("doc_id", "text"))
+    return keyed.join(leaks, "row_key", "left_anti").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,3 +28,11 @@ def test_near_duplicates_keep_one_and_empties(spark):
     kept = corpus_pipeline.near_duplicates(spark, docs, SF).collect()
     assert sorted(r.doc_id for r in kept) == [1, 2, 5, 6]
     assert jaccard.PERCENT == 90
+
+
+def test_leaks_go_by_row(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    rows = [(None, item), (None, "clean words"), (1, item), (1, "other clean words"), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.leaked_benchmarks(spark, docs, SF).collect()
+    assert sorted(map(tuple, kept), key=str) == [(1, "other clean words"), (2, None), (None, "clean words")]

@@ -145,6 +145,12 @@ def _drift(forms: str) -> Column:
     return (DRIFT + F.floor(F.size(forms) / DRIFT_EACH)).cast("long").alias("drift")
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """Hash that tells rows apart by id and text, also where either is null."""
+    parts = (F.col(id_col), F.col(id_col).isNull(), F.col(text_col), F.col(text_col).isNull())
+    return F.xxhash64(*parts)
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -156,7 +162,7 @@ def find_leaks(
 ) -> DataFrame:
     """Documents that hold a benchmark item, as one row for each of the two.
 
-    ``benchmark`` has ``item_id`` and ``text``. Returns ``doc_id``, ``item_id``,
+    ``benchmark`` has ``item_id`` and ``text``. Returns :func:`row_key`, ``doc_id``, ``item_id``,
     ``n_matched`` and ``n_windows`` (of the item), and ``kind``: ``exact`` where all slots hold
     the item's values, ``changed`` where they hold others, ``words`` where only the words in
     lower case match, ``mixed`` where a value became several. Only ``kinds`` are returned, the first of :data:`KINDS` that holds.
@@ -176,7 +182,7 @@ def find_leaks(
     if told.count() <= BROADCAST_WINDOWS:
         told = F.broadcast(told)
     rows = docs.select(
-        F.xxhash64(F.col(id_col), F.col(text_col)).alias("row_key"),
+        row_key(id_col, text_col).alias("row_key"),
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(text_col).alias("text"),
     )
@@ -217,6 +223,7 @@ def find_leaks(
     first = F.min_by(F.struct("n_matched", "n_windows", "kind"), F.struct("kind", -F.col("n_matched")))
     best = judged.groupBy("row_key", "doc_id", "item_row").agg(first.alias("best"))
     return best.join(items.select("item_row", "item_id"), "item_row").select(
+        "row_key",
         "doc_id",
         "item_id",
         "best.n_matched",

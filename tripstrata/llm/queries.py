@@ -82,7 +82,7 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
-    return decontam.find_leaks(docs, benchmark, kinds=decontam.KINDS)
+    return decontam.find_leaks(docs, benchmark, kinds=decontam.KINDS).drop("row_key")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
