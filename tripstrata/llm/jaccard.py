@@ -1,17 +1,18 @@
-"""Exact similarity join of shingle sets in the metric space of the Jaccard distance.
-
-Distances of unrelated texts all lie near 1, so the windows that the triangle inequality
-allows around pivots drawn from the corpus would reach every region: a bare Voronoi cut
-replicates everything. The cut is therefore made in two steps.
-
-* Outer regions come from a lossless split of the space: sets of close size are cut into
-  more slices by hash than the elements that linked sets can differ by, so linked sets agree
-  in some slice. Sets that agree in a slice share a region.
-* Within regions, the least document of a slice is its pivot. Documents go to their pivots,
-  their distance is computed exactly, and those within the radius are joined to it. What lies
-  across cells is left: a region whose documents are not all connected is joined again, by
-  new pivots among what is left, with windows by the triangle inequality that replicate
-  documents at the boundary and skip pairs that cannot link, down to the last pair.
+"""Exact similarity join of shingle sets by slice signatures, with pivots to save comparisons.
+
+A join in the metric space of the Jaccard distance, by Voronoi cells around pivots and windows
+that replicate documents at the cells' boundaries, was replaced: distances of unrelated texts
+all lie near 1, so the windows of pivots drawn from the corpus reach every cell and each
+document would be replicated to nearly all. No document is assigned to its nearest pivot here,
+and none is replicated by distance. Instead:
+
+* Candidates come from slices alone: sets of close size are cut into more slices by hash than
+  the elements that linked sets can differ by, so linked sets agree in some slice. This loses
+  no link.
+* The least document of a slice is its pivot. A document is first compared with the least of
+  its slices' pivots, then with those of other components, exactly. A slice whose documents are
+  not all connected by that is joined pair by pair from pivot to pivot; the triangle inequality
+  serves only to cut it where distances to a pivot leave a gap wider than the radius.
 
 Pairs within one component are not compared, as a link between them joins nothing new.
 Sets that are equal are one node. Only hashes that several documents share travel; pairs are
