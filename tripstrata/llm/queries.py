@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripstrata.llm import (
+    ballcodes,
     boosting,
     bpe,
     decontam,
@@ -16,6 +17,9 @@ from tripstrata.llm import (
     substrings,
     suffixes,
     tokenfile,
+    turntrie,
+    twins,
+    urlrules,
     warc,
     wrappers,
 )
@@ -23,6 +27,14 @@ from tripstrata.sources.workspace import new_folder
 
 TOKENIZERS = "/opt/tokenizers"
 
+# The URL rules of the query, as host, path and verdict.
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -85,6 +97,28 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontam.find_leaks(docs, benchmark, kinds=decontam.KINDS).drop("row_key")
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turntrie.conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    done = urlrules.filter_urls(pages, rules)
+    return done.select("rest.page_id", "host", "path", "rule", "verdict")
+
+
+def op13_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = ballcodes.vector_codes(_table(spark, sf_dir, "embeddings"))
+    return ballcodes.with_label_errors(coded).select(
+        F.col("id").alias("vec_id"),
+        ballcodes.code_text(F.col("codes")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(ballcodes.books_digest(books)).alias("codebooks_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_index": op1_warc_index,
     "op2_html_extraction": op2_html_extraction,
@@ -96,6 +130,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_token_output": op9_token_output,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
+    "op12_url_filters": op12_url_filters,
+    "op13_vector_code_compression": op13_vector_code_compression,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = twins.ORACLE_SQL
