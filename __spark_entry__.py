@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import time
 from collections.abc import Callable
 from pathlib import Path
 
@@ -38,6 +39,7 @@ from tripstrata.sources.lookups import read_trips, read_zones, to_wire  # noqa:
 from tripstrata.sources.session import size_for, use_utc  # noqa: E402
 from tripstrata.sources.topic import read_topic, stream_topic, to_events, write_topic  # noqa: E402
 from tripstrata.sources.workspace import new_folder  # noqa: E402
+from tripstrata.streaming.replay import read_reports  # noqa: E402
 from tripstrata.streaming.bronze import (  # noqa: E402
     create_bronze_table,
     ingest_available,
@@ -375,6 +377,42 @@ def replay_paced_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _paced(spark, sf_dir, REPLAY_PASSES)
 
 
+def replay_live_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a replay told of itself while it ran, stopped on its way and started again.
+
+    Spark remembers three windows only; the reports do not depend on it.
+    """
+    root, told = new_folder(spark, "live"), []
+    remembered = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(remembered, None)
+    spark.conf.set(remembered, 3)
+    try:
+        for to_end in (False, True):
+            job = jobs.start_paced_replay(
+                spark,
+                _trip_file(spark, sf_dir),
+                f"{root}/staging",
+                f"{root}/topic",
+                rate=PACED_SHARE * 20.0,
+                trigger_seconds=0.05,
+                tell=lambda report: told.append((report["batch"], report["sent"])),
+            )
+            if to_end:
+                job.run_to_end()
+            else:
+                while not told and job.query.isActive:
+                    time.sleep(0.05)
+                job.query.stop()
+                job.stop_report()
+    finally:
+        spark.conf.unset(remembered) if before is None else spark.conf.set(remembered, before)
+    # The log has the reports' fields; what was told of it are the windows' numbers and places.
+    shown = spark.createDataFrame(told, "batch long, sent long").distinct()
+    return shown.join(read_reports(spark, f"{root}/staging/reports", end=job.events), "sent").drop(
+        "elapsed_seconds"
+    )
+
+
 _QUERIES: dict[str, Query] = {
     "zone_lookup": zone_lookup,
     "trip_scan": trip_scan,
@@ -405,6 +443,7 @@ _QUERIES: dict[str, Query] = {
     "replay_progress": replay_progress_query,
     "replay_paced": replay_paced,
     "replay_paced_passes": replay_paced_passes,
+    "replay_live_report": replay_live_report,
 }
 
 
@@ -740,4 +779,11 @@ _TWINS: dict[str, str] = {
             "VendorID", tpep_pickup_datetime, "PULocationID", "DOLocationID", fare_amount
             FROM numbered, range(1, {REPLAY_PASSES + 1}) AS passes(p)""",
     ),
+    "replay_live_report": _with(
+        _FIXTURES,
+        _NUMBERED,
+        select=f"""SELECT (n - 1) // {PACED_SHARE} AS batch, n AS sent,
+            tpep_pickup_datetime, "PULocationID", "DOLocationID", fare_amount
+            FROM numbered WHERE n = 1 OR n % 100 = 0 OR n = total""",
+    ),
 }

@@ -12,6 +12,7 @@ from tripstrata.plans import jobs
 from tripstrata.plans.layers import CatalogLayers, Layers
 from tripstrata.sources.session import build_session, object_store_settings
 from tripstrata.streaming.bronze import run_until_stopped
+from tripstrata.streaming.replay import REPORT_EVERY, report_line
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -36,6 +37,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     runs.add_argument("--passes", type=int, default=1)
     runs.add_argument("--loop", action="store_true", help="pass after pass until interrupted")
     replay.add_argument("--trigger-seconds", type=int, default=10)
+    replay.add_argument("--report-every", type=int, default=REPORT_EVERY, help="events")
     bronze = job.add_parser("bronze", help="stream events into bronze")
     bronze.add_argument("--available-now", action="store_true", help="end when all is taken")
     for topic_job in (publish, replay, bronze):
@@ -85,10 +87,11 @@ def _run(args: argparse.Namespace, spark: SparkSession) -> None:
             args.rate,
             None if args.loop else args.passes,
             args.trigger_seconds,
+            tell=lambda report: print(report_line(report), flush=True),
+            every=args.report_every,
         )
         replay.run_to_end()
-        for batch in replay.progress():
-            print(batch)
+        print(f"sent {replay.report.sent} events in {replay.report.seconds:.0f} seconds")
     elif args.job == "bronze":
         trigger = None if args.available_now else jobs.TRIGGER
         query = jobs.start_bronze_job(
