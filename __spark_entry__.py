@@ -32,6 +32,7 @@ from tripstrata.operators.dedup import one_per_key  # noqa: E402
 from tripstrata.operators.enrich import with_zones, zone_names  # noqa: E402
 from tripstrata.operators.ranking import latest_commits, top_zones, trip_sample  # noqa: E402
 from tripstrata.operators.replay import replay, replay_progress  # noqa: E402
+from tripstrata.operators.sequence import in_key_order  # noqa: E402
 from tripstrata.plans import jobs  # noqa: E402
 from tripstrata.plans.layers import Layers, build_gold, build_silver  # noqa: E402
 from tripstrata.schemas import TRIP_KEY, TRIP_REST, TRIP_WIRE  # noqa: E402
@@ -133,6 +134,16 @@ def bronze_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_events(to_events(trips(spark, sf_dir), TOPIC))
 
 
+def vendor_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of a published trip file, put in the order of their vendors by their headers."""
+    topic = new_folder(spark, "ordered")
+    jobs.publish_trips(spark, _trip_file(spark, sf_dir), topic, TOPIC)
+    events = in_key_order(read_topic(spark, topic))
+    return events.withColumn("event", parse_event(F.col("value"))).select(
+        "event_key", "sequence", "ordinal", "event.tpep_pickup_datetime", "event.fare_amount"
+    )
+
+
 # Streams
 
 
@@ -418,6 +429,7 @@ _QUERIES: dict[str, Query] = {
     "trip_scan": trip_scan,
     "trip_events_json": trip_events_json,
     "bronze_parse": bronze_parse,
+    "vendor_order": vendor_order,
     "bronze_stream": bronze_stream,
     "bronze_restart": bronze_restart,
     "bronze_inflight": bronze_inflight,
@@ -632,6 +644,13 @@ _TWINS: dict[str, str] = {
             CAST(20 AS INT) AS n_fields, {_WIRE} FROM trips""",
     ),
     "bronze_parse": _ALL_TRIPS,
+    "vendor_order": _with(
+        _FIXTURES,
+        _NUMBERED,
+        select="""SELECT coalesce(CAST("VendorID" AS VARCHAR), '') AS event_key,
+            row_number() OVER (PARTITION BY "VendorID" ORDER BY n) - 1 AS sequence, n AS ordinal,
+            tpep_pickup_datetime, fare_amount FROM numbered""",
+    ),
     "bronze_stream": _ALL_TRIPS,
     "bronze_restart": _ALL_TRIPS,
     "bronze_inflight": _with(

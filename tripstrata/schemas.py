@@ -39,6 +39,14 @@ ENVELOPE = T.StructType(
         T.StructField("partition", T.IntegerType()),
         T.StructField("offset", T.LongType()),
         T.StructField("timestamp", T.TimestampType()),
+        T.StructField(
+            "headers",
+            T.ArrayType(
+                T.StructType(
+                    [T.StructField("key", T.StringType()), T.StructField("value", T.BinaryType())]
+                )
+            ),
+        ),
     ]
 )
 
