@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import time
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable
 from pathlib import Path
 
@@ -35,9 +36,10 @@ from tripstrata.operators.replay import replay, replay_progress  # noqa: E402
 from tripstrata.operators.sequence import in_key_order  # noqa: E402
 from tripstrata.plans import jobs  # noqa: E402
 from tripstrata.plans.layers import Layers, build_gold, build_silver  # noqa: E402
-from tripstrata.schemas import TRIP_KEY, TRIP_REST, TRIP_WIRE  # noqa: E402
+from tripstrata.schemas import SILVER, TRIP_KEY, TRIP_REST, TRIP_WIRE  # noqa: E402
 from tripstrata.sources.lookups import read_trips, read_zones, to_wire  # noqa: E402
-from tripstrata.sources.session import size_for, use_utc  # noqa: E402
+from tripstrata.sources.session import job_session, size_for  # noqa: E402
+from tripstrata.sources.tables import Conflict  # noqa: E402
 from tripstrata.sources.topic import read_topic, stream_topic, to_events, write_topic  # noqa: E402
 from tripstrata.sources.workspace import new_folder  # noqa: E402
 from tripstrata.streaming.replay import read_reports  # noqa: E402
@@ -62,15 +64,18 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 TOPIC = "trips"
 REPLAY_RATE = 5.0
 REPLAY_PASSES = 3
+HISTORY_COMMITS = 7
 #: Events of one window of the paced replay.
 PACED_SHARE = 40_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _prepare(spark: SparkSession, sf_dir: str) -> None:
-    use_utc(spark)
-    size_for(spark, spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+def _prepared_session(spark: SparkSession, sf_dir: str) -> SparkSession:
+    """A session of the query's own, fit to the size of the tables."""
+    own = job_session(spark)
+    size_for(own, own.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    return own
 
 
 def trips(spark: SparkSession, sf_dir: str, part: str = "all") -> DataFrame:
@@ -86,15 +91,6 @@ def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_gold(_silver(spark, sf_dir))
 
 
-def _rounded(gold: DataFrame) -> DataFrame:
-    """Averages add doubles in no fixed order, so they are compared to six places."""
-    return gold.withColumn("avg_speed_kmh", F.round("avg_speed_kmh", 6))
-
-
-def _rounded_stats(silver: DataFrame) -> DataFrame:
-    return speed_stats(silver).withColumn("avg_trip_speed_kmh", F.round("avg_trip_speed_kmh", 6))
-
-
 # Scans
 
 
@@ -110,6 +106,20 @@ def trip_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_trips(spark, path)
 
 
+def trip_scan_other_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder whose files differ in the case of names, in types and in missing columns."""
+    path, wire = new_folder(spark, "mixed-trips"), trips(spark, sf_dir)
+    rows, kind = trip_file_columns(wire), F.coalesce("VendorID", F.lit(0)) % 3
+    lower = rows.where(kind == 1).select(*(F.col(c).alias(c.lower()) for c in rows.columns))
+    lower = lower.withColumns({c: F.col(c).cast("long") for c in ("vendorid", "pulocationid", "payment_type")})
+    texts = wire.where(kind == 2).select(
+        *(F.col(c).cast("string").alias(c.upper()) for c in TRIP_KEY + TRIP_REST)
+    )
+    for part in (rows.where(kind == 0), lower, texts):
+        part.write.mode("append").parquet(path)
+    return read_trips(spark, path)
+
+
 # Events
 
 
@@ -177,16 +187,17 @@ def bronze_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_inflight(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-vendor counts over the files bronze had while its stream was running."""
+    """Per-vendor counts over one committed batch of bronze while its stream was running."""
     layers = Layers(new_folder(spark, "inflight"))
     events = _events(spark, sf_dir)
     query = start_bronze(events, layers.checkpoint, path=layers.bronze, trigger="1 second")
     try:
         query.processAllAvailable()
-        running = read_bronze(spark, layers.bronze)
+        running, batch = layers.bronze_at(spark)
     finally:
         query.stop()
-    return running.groupBy("VendorID").agg(F.count(F.lit(1)).alias("row_count"))
+    counts = running.groupBy("VendorID").agg(F.count(F.lit(1)).alias("row_count"))
+    return counts.withColumn("batch", F.lit(batch).cast("long"))
 
 
 def bronze_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,7 +263,7 @@ def silver_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_zone_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_gold(spark, sf_dir))
+    return _gold(spark, sf_dir)
 
 
 def _published_layers(spark: SparkSession, sf_dir: str) -> Layers:
@@ -266,27 +277,61 @@ def _published_layers(spark: SparkSession, sf_dir: str) -> Layers:
 
 def gold_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = _published_layers(spark, sf_dir)
-    return _rounded(layers.gold(spark).read())
+    return layers.gold(spark).read()
+
+
+def _stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver of all trips, read back from the table it is kept in."""
+    path = stored(spark, sf_dir, "silver", _silver(spark, sf_dir).write.parquet)
+    return spark.read.schema(SILVER).parquet(path)
 
 
 def snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver published from the first trips and again from all: latest version first."""
+    """The five latest of seven refreshes, of ever more vendors, latest first.
+
+    The log is compacted on the way, and versions before the last three expire at the end.
+    """
     table = Layers(new_folder(spark, "history")).silver(spark)
-    for part in ("base", "all"):
-        bronze = trips(spark, sf_dir, part)
-        table.publish(build_silver(bronze, zones(spark, sf_dir)))
-    history = table.history()
-    latest = latest_commits(history).select("snapshot_id", "operation")
-    return latest.join(history.select("snapshot_id", "sequence", "n_rows"), "snapshot_id").select(
-        "sequence", "operation", "n_rows"
+    silver = _stored_silver(spark, sf_dir)
+    for n in range(1, HISTORY_COMMITS + 1):
+        table.publish(silver.where(F.col("vendor_id") <= n))
+        if n % 3 == 0:
+            table.compact_log()
+    table.expire(keep=3, grace_seconds=0)
+    latest = latest_commits(table.history())
+    place = F.row_number().over(Window.orderBy(F.desc("committed_at"), "snapshot_id"))
+    of_commit = table.history().select("snapshot_id", "sequence", "n_rows")
+    left = table.readable().select("snapshot_id", F.lit(1).alias("left"))
+    return (
+        latest.withColumn("place", place)
+        .join(of_commit, "snapshot_id")
+        .join(left, "snapshot_id", "left")
+        .select("place", "sequence", "operation", "n_rows", F.coalesce("left", F.lit(0)).alias("readable"))
     )
 
 
+def publish_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two refreshes at the same time, and one that is refused as it began from an older version."""
+    table = Layers(new_folder(spark, "conflict")).silver(spark)
+    silver = _stored_silver(spark, sf_dir)
+    with ThreadPoolExecutor(2) as pool:
+        for done in [pool.submit(table.publish, silver) for _ in range(2)]:
+            done.result()
+    refused = 0
+    try:
+        table.publish(silver.limit(0), expected=1)
+    except Conflict:
+        refused = 1
+    latest = table.read().agg(F.count(F.lit(1)).alias("latest_rows"))
+    log = table.history().select("sequence", "operation", "n_rows", F.lit(refused).alias("refused"))
+    return log.join(F.broadcast(latest), F.col("n_rows") == F.col("latest_rows"))
+
+
 # Statistics
 
 
 def speed_stats_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded_stats(_silver(spark, sf_dir))
+    return speed_stats(_silver(spark, sf_dir))
 
 
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,7 +340,7 @@ def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top_zones_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_zones(_rounded(_gold(spark, sf_dir)))
+    return top_zones(_gold(spark, sf_dir))
 
 
 def bronze_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,9 +394,7 @@ def replay_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def replay_progress_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = to_wire(replay(spark, _trip_file(spark, sf_dir), REPLAY_RATE))
-    return replay_progress(events, REPLAY_RATE).withColumn(
-        "events_per_second", F.round("events_per_second", 6)
-    )
+    return replay_progress(events, REPLAY_RATE)
 
 
 def _paced(spark: SparkSession, sf_dir: str, passes: int) -> DataFrame:
@@ -427,6 +470,7 @@ def replay_live_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES: dict[str, Query] = {
     "zone_lookup": zone_lookup,
     "trip_scan": trip_scan,
+    "trip_scan_other_case": trip_scan_other_case,
     "trip_events_json": trip_events_json,
     "bronze_parse": bronze_parse,
     "vendor_order": vendor_order,
@@ -445,6 +489,7 @@ _QUERIES: dict[str, Query] = {
     "gold_zone_speed": gold_zone_speed,
     "gold_partitioned": gold_partitioned,
     "snapshot_history": snapshot_history,
+    "publish_conflict": publish_conflict,
     "speed_stats": speed_stats_query,
     "layer_counts": layer_counts,
     "top_zones": top_zones_query,
@@ -461,15 +506,14 @@ _QUERIES: dict[str, Query] = {
 
 def _prepared(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        _prepare(spark, sf_dir)
-        return query(spark, sf_dir)
+        return query(_prepared_session(spark, sf_dir), sf_dir)
 
     return run
 
 
 def entry(spark: SparkSession) -> DataFrame:
     """Trips through the topic's JSON to silver, and from there speed per zone."""
-    _prepare(spark, SMOKE_DIR)
+    spark = _prepared_session(spark, SMOKE_DIR)
     events = to_events(trips(spark, SMOKE_DIR), TOPIC)
     return build_gold(build_silver(parse_events(events), zones(spark, SMOKE_DIR)))
 
@@ -506,6 +550,20 @@ _FIELDS = [
     ("Airport_fee", "double"),
     ("cbd_congestion_fee", "double"),
 ]
+# The fields that silver is made of.
+_KEPT_BY_SILVER = {
+    "VendorID",
+    "tpep_pickup_datetime",
+    "tpep_dropoff_datetime",
+    "passenger_count",
+    "trip_distance",
+    "PULocationID",
+    "DOLocationID",
+    "payment_type",
+    "fare_amount",
+    "tip_amount",
+    "total_amount",
+}
 _WIRE = ", ".join(f'"{name}"' for name, _ in _FIELDS)
 
 _FIXTURES = f"""
@@ -588,13 +646,37 @@ def _silver_ctes(source: str, name: str) -> str:
 
 _SILVER = _silver_ctes("trips", "silver")
 
-_GOLD = """
+def _mean(name: str, rows: str, key: str) -> str:
+    """Mean speed by ``key`` as a subquery: sums of 22 binary places each, then long division."""
+    scale = "CAST(4194304 AS DOUBLE)"
+    return f"""
+{name}_0 AS (SELECT {key} AS k, trip_speed_kmh AS r FROM {rows} WHERE trip_speed_kmh IS NOT NULL),
+{name}_1 AS (SELECT k, CAST(floor(r) AS BIGINT) AS p0, (r - floor(r)) * {scale} AS r FROM {name}_0),
+{name}_2 AS (SELECT k, p0, CAST(floor(r) AS BIGINT) AS p1, (r - floor(r)) * {scale} AS r FROM {name}_1),
+{name}_3 AS (SELECT k, p0, p1, CAST(floor(r) AS BIGINT) AS p2, (r - floor(r)) * {scale} AS r FROM {name}_2),
+{name}_4 AS (
+    SELECT k, count(*) AS n, CAST(sum(p0) AS BIGINT) AS s0, CAST(sum(p1) AS BIGINT) AS s1,
+           CAST(sum(p2) AS BIGINT) AS s2, CAST(sum(CAST(floor(r) AS BIGINT)) AS BIGINT) AS s3
+    FROM {name}_3 GROUP BY k
+),
+{name}_5 AS (SELECT *, s0 // n AS q0, (s0 % n) * 4194304 + s1 AS u1 FROM {name}_4),
+{name}_6 AS (SELECT *, u1 // n AS q1, (u1 % n) * 4194304 + s2 AS u2 FROM {name}_5),
+{name}_7 AS (SELECT *, u2 // n AS q2, ((u2 % n) * 4194304 + s3) // n AS q3 FROM {name}_6),
+{name} AS (
+    SELECT k, q0 + (q1 / {scale} + (q2 / {scale} / {scale} + q3 / {scale} / {scale} / {scale})) AS mean
+    FROM {name}_7
+)"""
+
+
+_GOLD = (
+    _mean("zone_mean", "(SELECT * FROM silver WHERE pickup_zone IS NOT NULL)", "pickup_zone")
+    + """,
 gold AS (
-    SELECT pickup_zone, round(avg(trip_speed_kmh), 6) AS avg_speed_kmh,
-           max(trip_speed_kmh) AS max_speed_kmh
-    FROM silver WHERE pickup_zone IS NOT NULL AND trip_speed_kmh IS NOT NULL
-    GROUP BY pickup_zone
+    SELECT pickup_zone, mean AS avg_speed_kmh, max(trip_speed_kmh) AS max_speed_kmh
+    FROM silver JOIN zone_mean ON pickup_zone = k WHERE trip_speed_kmh IS NOT NULL
+    GROUP BY pickup_zone, mean
 )"""
+)
 
 _VALID = """
 valid AS (
@@ -638,6 +720,20 @@ _TWINS: dict[str, str] = {
             strftime(try_cast(tpep_pickup_datetime AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S')
                 AS tpep_pickup_datetime) FROM trips""",
     ),
+    "trip_scan_other_case": _with(
+        _FIXTURES,
+        select="SELECT "
+        + ", ".join(
+            f"""CASE WHEN "VendorID" % 3 = 2 THEN {name}
+                ELSE strftime(try_cast({name} AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S') END AS {name}"""
+            if name.endswith("datetime")
+            else f'"{name}"'
+            if name in _KEPT_BY_SILVER
+            else f'CASE WHEN "VendorID" % 3 = 2 THEN NULL ELSE "{name}" END AS "{name}"'
+            for name, _ in _FIELDS
+        )
+        + " FROM trips",
+    ),
     "trip_events_json": _with(
         _FIXTURES,
         select=f"""SELECT coalesce(CAST("VendorID" AS VARCHAR), '') AS event_key,
@@ -655,7 +751,8 @@ _TWINS: dict[str, str] = {
     "bronze_restart": _ALL_TRIPS,
     "bronze_inflight": _with(
         _FIXTURES,
-        select='SELECT "VendorID", count(*) AS row_count FROM trips GROUP BY "VendorID"',
+        select='''SELECT "VendorID", count(*) AS row_count, CAST(0 AS BIGINT) AS batch
+            FROM trips GROUP BY "VendorID"''',
     ),
     "bronze_schema": _with(
         _FIXTURES,
@@ -718,17 +815,26 @@ _TWINS: dict[str, str] = {
     "gold_partitioned": _ALL_GOLD,
     "snapshot_history": _with(
         _FIXTURES,
-        _silver_ctes("lines", "first_silver"),
         _SILVER,
-        select="""SELECT CAST(1 AS BIGINT) AS sequence, 'overwrite' AS operation,
-                         count(*) AS n_rows FROM first_silver
-            UNION ALL SELECT CAST(2 AS BIGINT), 'overwrite', count(*) FROM silver""",
+        select=f"""SELECT CAST({HISTORY_COMMITS} + 1 - s AS INT) AS place, s AS sequence,
+            'overwrite' AS operation, count(*) AS n_rows,
+            CAST(s > {HISTORY_COMMITS} - 3 AS INT) AS readable
+            FROM silver JOIN range(1, {HISTORY_COMMITS} + 1) AS r(s) ON vendor_id <= s
+            WHERE s > {HISTORY_COMMITS} - 5 GROUP BY s""",
+    ),
+    "publish_conflict": _with(
+        _FIXTURES,
+        _SILVER,
+        select="""SELECT s AS sequence, 'overwrite' AS operation, count(*) AS n_rows,
+            CAST(1 AS INT) AS refused, count(*) AS latest_rows
+            FROM silver, range(1, 3) AS r(s) GROUP BY s""",
     ),
     "speed_stats": _with(
         _FIXTURES,
         _SILVER,
+        _mean("all_mean", "silver", "1"),
         select="""SELECT max(trip_speed_kmh) AS max_trip_speed_kmh,
-            round(avg(trip_speed_kmh), 6) AS avg_trip_speed_kmh,
+            (SELECT mean FROM all_mean) AS avg_trip_speed_kmh,
             CAST(sum(CASE WHEN trip_speed_kmh IS NULL THEN 1 ELSE 0 END) AS BIGINT)
                 AS null_speed_rows,
             count(*) AS total_rows FROM silver""",
@@ -777,8 +883,7 @@ _TWINS: dict[str, str] = {
         _NUMBERED,
         select=f"""SELECT report, n AS sent, tpep_pickup_datetime, "PULocationID", "DOLocationID",
             fare_amount, (n - 1) / CAST({REPLAY_RATE} AS DOUBLE) AS elapsed_seconds,
-            CASE WHEN n > 1 THEN round(n / ((n - 1) / CAST({REPLAY_RATE} AS DOUBLE)), 6)
-            END AS events_per_second
+            CASE WHEN n > 1 THEN n / ((n - 1) / CAST({REPLAY_RATE} AS DOUBLE)) END AS events_per_second
             FROM (SELECT *, CASE WHEN n = 1 THEN 0 ELSE CAST(ceil(n / CAST(100 AS DOUBLE)) AS BIGINT)
                             END AS report FROM numbered)
             WHERE n = 1 OR n % 100 = 0 OR n = total""",

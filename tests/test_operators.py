@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.trip_rows import bronze, zones
-from tripstrata.operators.aggregate import row_counts, speed_stats, zone_speed
+from tripstrata.operators.aggregate import counted, row_counts, speed_stats, zone_speed
 from tripstrata.operators.cleaning import valid_times
 from tripstrata.operators.dedup import one_per_key
 from tripstrata.operators.enrich import with_zones
@@ -137,7 +137,7 @@ def test_stats_over_nothing(spark):
 
 
 def test_row_counts(spark):
-    counts = row_counts({"a": spark.range(3), "b": spark.range(0)})
+    counts = row_counts({"a": counted(spark.range(3)), "b": counted(spark.range(0))})
     assert {r.layer: r.row_count for r in counts.collect()} == {"a": 3, "b": 0}
 
 

@@ -6,6 +6,7 @@ from tripstrata.sources import workspace
 from tripstrata.sources.session import (
     MAX_SHUFFLE_PARTITIONS,
     build_session,
+    job_session,
     object_store_settings,
     scan_split_bytes_for,
     shuffle_partitions_for,
@@ -94,3 +95,22 @@ def test_work_folders(spark):
     assert "tripstrata-" in workspace.shared_folder(Session(None, "local[2]"))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         workspace.shared_folder(Session(None, "yarn"))
+
+
+def test_a_job_session_leaves_the_caller_as_it_was(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    spark.range(3).createOrReplaceTempView("kept")
+    try:
+        own = job_session(spark)
+        assert own.conf.get("spark.sql.shuffle.partitions") == "5"
+        assert own.conf.get("spark.sql.session.timeZone") == "UTC"
+        before = dict(spark.conf.getAll)
+        own.conf.set("spark.sql.shuffle.partitions", "77")
+        own.range(9).createOrReplaceTempView("kept")
+        own.range(9).createOrReplaceTempView("other")
+        assert dict(spark.conf.getAll) == before
+        assert spark.table("kept").count() == 3 and not spark.catalog.tableExists("other")
+        assert own.sparkContext.applicationId == spark.sparkContext.applicationId
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.catalog.dropTempView("kept")

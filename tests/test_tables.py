@@ -1,12 +1,16 @@
 """Full-refresh tables and the commit log."""
 
+import threading
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from tripstrata.operators.ranking import latest_commits
 from tripstrata.schemas import COMMIT_LOG, GOLD
-from tripstrata.sources.tables import CatalogTable, VersionedTable
+from tripstrata.sources.files import names_and_ages, put_if_absent
+from tripstrata.sources.tables import CatalogTable, Conflict, VersionedTable
 
 
 def gold(spark, *names):
@@ -90,3 +94,87 @@ def test_replacing_needs_a_catalog_that_can(spark):
     with pytest.raises(AnalysisException) as error:
         table.publish(gold(spark, "A"))
     assert error.value.getCondition() == "UNSUPPORTED_FEATURE.TABLE_OPERATION"
+
+
+def test_two_refreshes_at_once_get_two_numbers(spark, tmp_path, monkeypatch):
+    """Both have seen the same version before either commits."""
+    table = VersionedTable(spark, f"{tmp_path}/gold", GOLD)
+    table.publish(gold(spark, "A"))
+    meet = threading.Barrier(2, timeout=60)
+    claim = VersionedTable._claim
+
+    def together(self, sequence, only):
+        meet.wait()
+        return claim(self, sequence, only)
+
+    monkeypatch.setattr(VersionedTable, "_claim", together)
+    with ThreadPoolExecutor(2) as pool:
+        done = [pool.submit(table.publish, gold(spark, *names)) for names in ("BC", "DEF")]
+        assert sorted(d.result() for d in done) == [2, 3]
+    log = table.history().orderBy("sequence").collect()
+    assert [r.sequence for r in log] == [1, 2, 3] and sorted(r.n_rows for r in log) == [1, 2, 3]
+    assert len(names(table)) == log[-1].n_rows
+
+
+def test_a_refresh_of_an_older_version_is_refused(spark, tmp_path, monkeypatch):
+    table = VersionedTable(spark, f"{tmp_path}/gold", GOLD)
+    table.publish(gold(spark, "A"), expected=0)
+    with pytest.raises(Conflict, match="not 0"):
+        table.publish(gold(spark, "B"), expected=0)
+    # The other one commits while this one writes.
+    assert put_if_absent(spark, f"{table.root}/_claims/{2:020d}")
+    with pytest.raises(Conflict, match="version 2"):
+        table.publish(gold(spark, "B"), expected=1)
+    assert names(table) == ["A"]
+    # It died before its commit: its number is left out.
+    table.publish(gold(spark, "C"))
+    assert names(table) == ["C"] and table.latest().sequence == 3
+
+
+def test_put_if_absent(spark, tmp_path):
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda _: put_if_absent(spark, f"{tmp_path}/a/claim"), range(24)))
+    assert sum(won) == 1
+
+
+def test_old_versions_expire_and_the_log_stays(spark, table):
+    for n in range(4):
+        table.publish(gold(spark, *"ABCD"[: n + 1]))
+    first = table.history().where("sequence = 1").first().folder
+    open_reader = table.read()
+    assert table.expire(keep=1, grace_seconds=3600) == 0
+    gold(spark, "Z").write.parquet(f"{table.root}/died")
+    assert table.expire(keep=2, grace_seconds=0) == 2
+    assert table.expire(keep=2, grace_seconds=0) == 0
+    assert [r.sequence for r in table.readable().orderBy("sequence").collect()] == [3, 4]
+    assert [r.sequence for r in table.history().orderBy("sequence").collect()] == [1, 2, 3, 4]
+    assert len(names(table)) == 4 and open_reader.count() == 4
+    with pytest.raises(LookupError, match="expired"):
+        table.read_version(first)
+    with pytest.raises(ValueError):
+        table.expire(keep=0)
+    assert "died" not in names_and_ages(spark, table.root)
+    # A version that was the latest a moment ago stays for its readers.
+    table.publish(gold(spark, "E"))
+    assert table.expire(keep=1, grace_seconds=3600) == 0
+
+
+def test_log_compaction(spark, table):
+    def shown():
+        return [tuple(r) for r in table.history().orderBy("sequence").collect()]
+
+    table.compact_log()
+    for n in range(5):
+        table.publish(gold(spark, *"ABCDE"[: n + 1]))
+    before, listed = shown(), table.history()
+    table.compact_log()
+    assert shown() == before
+    table.publish(gold(spark, "F"))
+    assert listed.count() == 5
+    table.compact_log()
+    assert shown()[:5] == before and len(shown()) == 6 and names(table) == ["F"]
+    assert len(names_and_ages(spark, f"{table.root}/_commits")) <= 3
+    table.expire(keep=1, grace_seconds=0)
+    table.compact_log()
+    table.compact_log()
+    assert len(shown()) == 6 and table.readable().count() == 1

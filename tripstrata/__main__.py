@@ -49,9 +49,13 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 
     refresh = job.add_parser("silver-gold", help="rebuild silver and gold")
     refresh.add_argument("--zones", required=True)
-    job.add_parser("stats", help="print statistics")
+    stats = job.add_parser("stats", help="print statistics")
+    report = job.add_parser("report", help="count and sample bronze, also while its stream runs")
+    report.add_argument("--sample", type=int, default=10, help="trips to show")
     sql = job.add_parser("sql", help="run SQL over bronze, silver and gold")
     sql.add_argument("text")
+    for shown in (stats, report, sql):
+        shown.add_argument("--rows", type=int, default=20, help="most rows to print of a result")
     args = parser.parse_args(argv)
     if args.database and not args.checkpoint:
         parser.error("--database needs --checkpoint")
@@ -104,10 +108,13 @@ def _run(args: argparse.Namespace, spark: SparkSession) -> None:
     elif args.job == "stats":
         for name, report in jobs.statistics(spark, layers).items():
             print(name)
-            report.show(truncate=False)
+            report.show(args.rows, truncate=False)
+    elif args.job == "report":
+        for name, report in jobs.bronze_report(spark, layers, args.sample).items():
+            print(name)
+            report.show(args.rows, truncate=False)
     else:
-        jobs.register_layers(spark, layers)
-        jobs.run_sql(spark, args.text).show(truncate=False)
+        jobs.query_layers(spark, layers, args.text).show(args.rows, truncate=False)
 
 
 def main(argv: list[str] | None = None) -> None:

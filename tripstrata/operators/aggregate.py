@@ -7,14 +7,17 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripstrata.functions.exact import exact_mean
+
 
 def zone_speed(silver: DataFrame) -> DataFrame:
-    """Average and maximum speed per pickup zone name."""
+    """Average and maximum speed per pickup zone name; averages do not depend on the rows' order."""
     return (
         silver.filter(F.col("pickup_zone").isNotNull() & F.col("trip_speed_kmh").isNotNull())
         .groupBy("pickup_zone")
         .agg(
-            F.avg("trip_speed_kmh").alias("avg_speed_kmh"),
+            # The names of the published columns, here and in ``speed_stats``.
+            exact_mean(F.col("trip_speed_kmh")).alias("avg_speed_kmh"),
             F.max("trip_speed_kmh").alias("max_speed_kmh"),
         )
     )
@@ -25,21 +28,21 @@ def speed_stats(silver: DataFrame) -> DataFrame:
     speed = F.col("trip_speed_kmh")
     return silver.agg(
         F.max(speed).alias("max_trip_speed_kmh"),
-        F.avg(speed).alias("avg_trip_speed_kmh"),
+        exact_mean(speed).alias("avg_trip_speed_kmh"),
         F.sum(F.when(speed.isNull(), 1).otherwise(0)).alias("null_speed_rows"),
         F.count(F.lit(1)).alias("total_rows"),
     )
 
 
-def row_counts(layers: dict[str, DataFrame]) -> DataFrame:
-    """Rows of every layer, as ``layer, row_count``."""
-    counts = [
-        rows.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("layer"), "row_count"
-        )
-        for name, rows in layers.items()
-    ]
-    return reduce(DataFrame.unionAll, counts)
+def row_counts(counts: dict[str, DataFrame]) -> DataFrame:
+    """Rows of every layer, as ``layer, row_count``, from tables of one ``row_count`` each."""
+    named = [one.select(F.lit(name).alias("layer"), "row_count") for name, one in counts.items()]
+    return reduce(DataFrame.unionAll, named)
+
+
+def counted(rows: DataFrame) -> DataFrame:
+    """``row_count`` by going through the rows."""
+    return rows.agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def column_fill(rows: DataFrame) -> DataFrame:

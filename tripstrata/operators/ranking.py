@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The fields of a sampled trip.
 SAMPLE_COLUMNS = [
     "VendorID",
     "tpep_pickup_datetime",

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripstrata.operators.aggregate import zone_speed
+from tripstrata.operators.aggregate import counted, zone_speed
 from tripstrata.operators.cleaning import (
     needed_fields,
     valid_times,
@@ -17,9 +17,9 @@ from tripstrata.operators.cleaning import (
 )
 from tripstrata.operators.dedup import one_per_key
 from tripstrata.operators.enrich import with_zones
-from tripstrata.schemas import GOLD, SILVER, TRIP_KEY, TRIP_REST
-from tripstrata.sources.tables import CatalogTable, VersionedTable
-from tripstrata.streaming.bronze import create_bronze_table, read_bronze
+from tripstrata.schemas import GOLD, SILVER, TRIP_KEY, TRIP_REST, TRIP_WIRE
+from tripstrata.sources.tables import CatalogTable, VersionedTable, footer_count
+from tripstrata.streaming.bronze import create_bronze_table, read_bronze, read_bronze_at
 
 # The wire or derived field behind every published silver column.
 _SILVER_FROM = {
@@ -86,6 +86,12 @@ class Layers:
     def read_bronze(self, spark: SparkSession) -> DataFrame:
         return read_bronze(spark, self.bronze)
 
+    def bronze_at(self, spark: SparkSession) -> tuple[DataFrame, int | None]:
+        return read_bronze_at(spark, self.bronze)
+
+    def count_bronze(self, spark: SparkSession) -> DataFrame:
+        return footer_count(spark, self.bronze, TRIP_WIRE)
+
     def silver(self, spark: SparkSession) -> VersionedTable:
         return VersionedTable(spark, f"{self.root}/silver", SILVER)
 
@@ -110,6 +116,13 @@ class CatalogLayers:
     def read_bronze(self, spark: SparkSession) -> DataFrame:
         return spark.table(f"{self.database}.bronze")
 
+    def bronze_at(self, spark: SparkSession) -> tuple[DataFrame, int | None]:
+        """A catalog's own snapshots bind a read; they are not the stream's batches."""
+        return self.read_bronze(spark), None
+
+    def count_bronze(self, spark: SparkSession) -> DataFrame:
+        return counted(self.read_bronze(spark))
+
     def silver(self, spark: SparkSession) -> CatalogTable:
         return CatalogTable(spark, f"{self.database}.silver", SILVER, self.fmt)
 

@@ -93,6 +93,7 @@ SILVER = T.StructType(
     ]
 )
 
+# The published gold columns.
 GOLD = T.StructType(
     [
         T.StructField("pickup_zone", T.StringType()),

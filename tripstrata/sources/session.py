@@ -85,6 +85,24 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def job_session(spark: SparkSession) -> SparkSession:
+    """A session of a job's own, in UTC, with the caller's settings as they are now.
+
+    It shares the context and the catalog. Settings, views and streams of the one do not show
+    in the other, so that a job leaves its caller's session as it was.
+    """
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if own.conf.get(name, None) != value and own.conf.isModifiable(name):
+            own.conf.set(name, value)
+    return use_utc(own)
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """Bytes up to which Spark broadcasts a join's side; negative where it never does."""
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
 def shuffle_partitions_for(input_bytes: int) -> int:
     """Shuffle partitions that hold about ``TARGET_SHUFFLE_BYTES`` each."""
     wanted = math.ceil(input_bytes * SHUFFLE_GROWTH / TARGET_SHUFFLE_BYTES)
