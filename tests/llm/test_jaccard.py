@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 
+from tests.llm.patterns import one_words, paired
 from tripstrata.llm import jaccard
 from tripstrata.llm.components import components
 
@@ -77,3 +78,11 @@ def test_components_of_a_chain(spark):
     pairs = [(i, i + 1) for i in range(1, 40)] + [(100, 100), (90, 80), (80, 90), (None, 1)]
     rows = components(spark.createDataFrame(pairs, "a long, b long")).collect()
     assert {r.node: r.component for r in rows} == {**{i: 1 for i in range(1, 41)}, 80: 80, 90: 80}
+
+
+def test_words_that_weak_hashes_confuse(spark):
+    x, y = one_words()
+    rows = [(1, x), (2, y), (3, x), (4, f"{x} b c d"), (5, f"{y} b c d"), (6, " ".join(paired()[0])), (7, " ".join(paired()[1]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    done = jaccard.similarity_components(docs).select("doc_id", "n_shingles", "component_id")
+    assert sorted((tuple(r) for r in done.collect()), key=str) == brute(rows)

@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from tests.llm.patterns import one_words, paired
 from tripstrata.llm import substrings
 
 
@@ -66,3 +67,21 @@ def test_other_columns_and_no_rows(spark):
     rows = substrings.remove_repeats(docs, carry=True).select("doc_id", "n_removed", "rest.block", "rest.row_id")
     assert sorted(map(tuple, rows.collect())) == [(1, 0, 7, "u"), (2, 30, 8, None)]
     assert substrings.remove_repeats(docs.where(F.lit(False))).count() == 0
+
+
+def test_texts_that_weak_hashes_confuse(spark):
+    """No window of either text occurs in the other; nor do words that only look alike."""
+    one, other = paired()
+    x, y = one_words()
+    rows = [(1, " ".join(one)), (2, " ".join(other)), (3, " ".join(one[:300]))]
+    rows += [(4, " ".join([x, *"cdefghijklmnopqrstuvw"])), (5, " ".join([y, *"cdefghijklmnopqrstuvw"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substrings.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, 20)
+
+
+def test_one_very_long_text(spark):
+    words = [f"w{i % 50_000}" for i in range(120_000)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, "x " * 10)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in substrings.remove_repeats(docs).collect()}
+    assert got == {1: (120_000, 70_000), 2: (10, 0)}

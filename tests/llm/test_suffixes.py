@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+from tests.llm.patterns import paired
 from tripstrata.llm import suffixes
 
 
@@ -55,3 +56,13 @@ def test_against_brute_force(spark):
     done = suffixes.remove_repeated_bytes(docs).drop("kept")
     assert sorted((tuple(r) for r in done.collect()), key=str) == brute(rows)
     assert suffixes.remove_repeated_bytes(docs.limit(0)).count() == 0
+
+
+def test_texts_that_weak_hashes_confuse(spark):
+    """No 50 bytes of either text occur in the other."""
+    one, other = ("".join(t) for t in paired())
+    rows = [(1, one), (2, other), (3, one), (4, other[:200])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    done = suffixes.remove_repeated_bytes(docs)
+    got = done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -139,15 +140,44 @@ def gram_hashes(codes: np.ndarray, k: int) -> np.ndarray:
     return mix((codes[k:] - codes[:-k]) * powers(_INVERSE, n))
 
 
-def word_hashes(part: Texts, spans: Words) -> np.ndarray:
-    """Hashes of all words, worked out a slice of texts at a time."""
+def _factors(n: int, seed: int) -> np.ndarray:
+    return mix(np.arange(1, n + 1, dtype=np.uint64) * _BASE + mix(np.array([seed], dtype=np.uint64)))
+
+
+_kept_factors = cache(_factors)
+
+
+def word_hashes(part: Texts, spans: Words, seed: int = 0) -> np.ndarray:
+    """Hashes of all words, worked out a slice of texts at a time.
+
+    Each place in a word has a factor of its own, so that no pattern of letters makes words
+    agree, as patterns do with the powers of one factor. Every ``seed`` gives other hashes.
+    """
     out = np.empty(len(spans.start), dtype=np.uint64)
+    shift = np.uint64(seed % 63)
+    codes = (_BYTE_CODES << shift) | (_BYTE_CODES >> (np.uint64(64) - shift)) if seed else _BYTE_CODES
     for first, some in slices(part):
         lo, (a, b) = part.offsets[first], spans.first[[first, first + len(some)]]
-        out[a:b] = span_hashes(prefix_codes(some.data), spans.start[a:b] - lo, spans.end[a:b] - lo)
+        if a == b:
+            continue
+        start, size = spans.start[a:b] - lo, spans.end[a:b] - spans.start[a:b]
+        begin = np.cumsum(size) - size
+        longest, total = int(size.max()), int(size.sum())
+        factors = _kept_factors(4096, seed) if longest <= 4096 else _factors(longest, seed)
+        place = np.arange(total) - np.repeat(begin, size)
+        letters = some.data[np.repeat(start, size) + place]
+        sums = np.add.reduceat(codes[letters] * factors[place], begin)
+        out[a:b] = mix(sums + size.astype(np.uint64))
     return out
 
 
+def digests(texts_: Iterator[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Digests of whole texts, 96 bits in two columns. Nobody can make unlike texts agree."""
+    raw = b"".join(blake2b(t, digest_size=12).digest() for t in texts_)
+    rows = np.frombuffer(raw, dtype=np.dtype([("a", "<u8"), ("b", "<u4")]))
+    return rows["a"].copy(), rows["b"].copy()
+
+
 def chain(hashes: np.ndarray, k: int) -> np.ndarray:
     """Unmixed code of the ``k`` words from every position."""
     n = len(hashes) - k + 1

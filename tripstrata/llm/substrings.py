@@ -58,19 +58,14 @@ class _Block:
         self.copy = np.zeros(len(self.texts), dtype=bool)
 
     def whole_texts(self):
-        """Hash of every text that has a window, with its id."""
+        """Digest of the words of every text that has a window, in two columns."""
         counts = np.diff(self.words.first)
         rows = np.flatnonzero(counts >= self.window)
-        steps = G.powers(G._WORD_STEP, len(self.hashes))
-        sums = np.zeros(len(self.hashes) + 1, dtype=np.uint64)
-        np.cumsum(self.hashes * steps, out=sums[1:])
-        back = G.powers(np.uint64(pow(int(G._WORD_STEP), -1, 1 << 64)), len(self.hashes) + 1)
-        a, b = self.words.first[rows], self.words.first[rows + 1]
-        return rows, G.mix((sums[b] - sums[a]) * back[a] + counts[rows].astype(np.uint64))
+        return rows, *G.digests(b" ".join(self.texts.bytes_of(i).split()) for i in rows)
 
     def settle_copies(self, replies: pa.Table) -> None:
-        rows, hashes = self.whole_texts()
-        lead, order, _ = _leads([hashes, np.zeros(len(rows), np.uint32)], [self.ids[rows]])
+        rows, hashes, check = self.whole_texts()
+        lead, order, _ = _leads([hashes, check], [self.ids[rows]])
         first = B.read_answer(replies, _TEXTS, self.bits, hashes[order][lead])
         group = np.cumsum(lead) - 1
         best = self.ids[rows][order][lead][group]
@@ -106,7 +101,7 @@ class _Block:
         """Surviving windows: position, hash, second hash, id and place in their text."""
         at = np.flatnonzero(self.live)
         hashes = G.mix(self.codes(self.window, self.hashes)[at])
-        other = self.codes(self.window, G.mix(self.hashes + np.uint64(1)))[at]
+        other = self.codes(self.window, G.word_hashes(self.texts, self.words, seed=1))[at]
         text = self.words.text[at]
         place = (at - self.words.first[text]).astype(np.int32)
         return at, hashes, (G.mix(other) >> np.uint64(32)).astype(np.uint32), self.ids[text], place
@@ -124,11 +119,9 @@ class _Block:
         )
 
     def ask_texts(self, block: int) -> pa.Table:
-        rows, hashes = self.whole_texts()
-        zero = np.zeros(len(rows), np.uint32)
-        return self._ask_first(
-            block, _TEXTS, [hashes, zero], [self.ids[rows], zero.astype(np.int32)]
-        )
+        rows, hashes, check = self.whole_texts()
+        place = np.zeros(len(rows), np.int32)
+        return self._ask_first(block, _TEXTS, [hashes, check], [self.ids[rows], place])
 
     def _ask_first(self, block, level, keys, place) -> pa.Table:
         lead, order, _ = _leads(keys, place)

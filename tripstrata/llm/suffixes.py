@@ -101,17 +101,12 @@ class _Block:
         self.pieces = [(first, _Slice(part, length)) for first, part in G.slices(self.texts)]
 
     def whole_texts(self):
-        """Texts of at least one window, sorted by hash and id; which lead their hash."""
-        sizes = np.diff(self.texts.offsets)
-        rows = np.flatnonzero(sizes >= self.length)
-        hashes = np.zeros(len(self.texts), dtype=np.uint64)
-        for first, part in G.slices(self.texts):
-            codes = G.prefix_codes(part.data)
-            a, b = part.offsets[:-1], part.offsets[1:]
-            hashes[first : first + len(part)] = G.span_hashes(codes, a, b)
-        order = rows[np.lexsort([self.ids[rows], sizes[rows], hashes[rows]])]
-        keys = [hashes[order], sizes[order].astype(np.uint32)]
-        return order, keys, B.changes(keys)
+        """Texts of at least one window, sorted by digest and id; which lead their digest."""
+        rows = np.flatnonzero(np.diff(self.texts.offsets) >= self.length)
+        hashes, check = G.digests(self.texts.bytes_of(i) for i in rows)
+        order = np.lexsort([self.ids[rows], check, hashes])
+        keys = [hashes[order], check[order]]
+        return rows[order], keys, B.changes(keys)
 
     def ask_first(self, block: int) -> pa.Table:
         order, keys, lead = self.whole_texts()
