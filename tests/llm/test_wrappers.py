@@ -102,3 +102,16 @@ def test_constant_blocks_of_any_length_and_in_runs_are_template(spark):
         assert got[i] == f"Head {i}\n{texts[i].strip()}\n{texts[i]}too"
     # Two pages that are nearly copies are no evidence of a template.
     assert got[20].startswith("same words") and got[21].endswith("Number 1")
+
+
+def test_deep_pages_keep_their_text(spark):
+    """Far more levels than Python's stack has; a menu's inner levels stay in the menu."""
+    for levels in (149, 150, 151, 500, 50_000):
+        deep = "<div>" * levels + "<p>Deep story.</p>" + "</div>" * levels
+        menu = "<nav>" + "<div>" * levels + "<p>Menu.</p>" + "</div>" * levels + "</nav>"
+        inside = "<div>" * levels + "<nav><div><p>Inner menu.</p></div></nav><p>Inner.</p>" + "</div>" * levels
+        page = f"<html><body>{menu}<article>{deep}{inside}<p>End.</p></article></body></html>"
+        assert wrappers.main_text(page, None) == "Deep story.\nInner.\nEnd."
+    rows = [(1, "http://a.b/1", "<div>" * 3000 + "x"), (2, "http://a.b/2", "<b>" * 3000 + "y")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in wrappers.extract_main_text(pages).collect()} == {1: "x", 2: "y"}

@@ -84,14 +84,28 @@ _TAG = re.compile(
 )
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 VARIES = "*"
+#: Levels of a tree; elements further inside are put beside one another.
+DEPTH = 150
 
 
 class Node:
-    __slots__ = ("label", "path", "children", "blocks")
+    __slots__ = ("name", "label", "path", "children", "blocks", "depth", "home")
 
-    def __init__(self, label: str, above: str = "") -> None:
-        self.label, self.path = label, f"{above}/{label}"
-        self.children, self.blocks = [], []
+    def __init__(self, name: str, label: str, above: Node | None = None) -> None:
+        """An element below another; one deeper than ``DEPTH`` stands beside those at that depth.
+
+        There it takes over the label of an element above it that holds no content, so that
+        what is inside a menu stays inside it.
+        """
+        self.name, self.children, self.blocks = name, [], []
+        deep = above is not None and above.depth > DEPTH
+        if deep and (above.label.split(".")[0] in NO_CONTENT or is_named(above.label)):
+            label = above.label
+        self.home = above.home if deep else above
+        self.depth = self.home.depth + 1 if self.home else 0
+        self.label, self.path = label, f"{self.home.path if self.home else ''}/{label}"
+        if self.home:
+            self.home.children.append(self)
 
 
 def _label(name: str, rest: str) -> str:
@@ -103,7 +117,7 @@ def _label(name: str, rest: str) -> str:
 
 def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
     """The tree of block elements, and all text blocks in page order with their elements."""
-    root = Node("page")
+    root = Node("page", "page")
     stack, blocks, text, at = [root], [], [], 0
 
     def flush() -> None:
@@ -133,8 +147,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
         if name in CLOSES:
             _close(stack, CLOSES[name], within=True)
         _close(stack, ("p",), within=True)
-        node = Node(_label(name, found["rest"]), stack[-1].path)
-        stack[-1].children.append(node)
+        node = Node(name, _label(name, found["rest"]), stack[-1])
         if name in RAW:
             stop = re.compile(f"</{name}[^>]*(?:>|\\Z)", re.I).search(page, at)
             at = stop.end() if stop else len(page)
@@ -149,7 +162,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
 def _close(stack: list[Node], names: tuple[str, ...], within: bool = False) -> None:
     """Close the innermost of the named elements; ``within`` stops at elements that hold it."""
     for i in range(len(stack) - 1, 0, -1):
-        name = stack[i].label.split(".", 1)[0]
+        name = stack[i].name
         if name in names:
             del stack[i:]
             return
