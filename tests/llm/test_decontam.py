@@ -96,3 +96,12 @@ def test_slots_that_do_not_hold_together(spark):
     got = _found(spark, texts, [ITEM, fruit, few], kinds=("exact", "changed", "mixed"))
     assert got == {(0, 0): "mixed", (1, 1): "mixed"}
     assert set(_found(spark, texts, [ITEM, fruit, few], kinds=decontam.KINDS)) == {(0, 0), (1, 1)}
+
+
+def test_items_of_few_words_are_told_apart(spark):
+    docs = spark.createDataFrame([(n, f"the text {n} is about the sea") for n in range(20)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "the"), (2, "about the sea"), (3, ""), (4, None)], "item_id long, text string")
+    assert decontam.find_leaks(docs, items).count() == 0
+    assert decontam.find_leaks(docs, items, kinds=decontam.KINDS[:4]).count() == 0
+    told = decontam.find_leaks(docs, items, kinds=decontam.KINDS).collect()
+    assert {(r.item_id, r.kind) for r in told} == {(1, "short"), (2, "short")} and len(told) == 40

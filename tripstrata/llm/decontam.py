@@ -14,9 +14,10 @@ fewer than it has such slots. All of it is DataFrame operations.
 
 Template windows with fewer than ``LITERALS`` plain words are no evidence, so texts of numbers or
 names alone do not match by them. Items are therefore joined a second time by windows of their
-words as they are, in lower case, without that rule; an item shorter than a window is one window
-of its own length. Copies found by that only are of kind ``words``; it and ``mixed`` are asked for by ``kinds``;
-null texts have no words. Rows equal in id and text are one document. Tables without rows give
+words as they are, in lower case, without that rule. Copies found by that only are of kind
+``words``. An item shorter than a window is one window of its own length and of kind ``short``:
+a word or three occur by themselves, so this says that the text holds them and is no ground to
+drop a document. ``words``, ``mixed`` and ``short`` are asked for by ``kinds``; null texts have no words. Rows equal in id and text are one document. Tables without rows give
 none. The windows of the items are broadcast only up to ``BROADCAST_WINDOWS``, which are
 counted; beyond, both sides are shuffled.
 """
@@ -33,7 +34,7 @@ WINDOW = 5
 SHARE = 0.8
 LITERALS = 2
 #: Kinds of evidence, the strongest first; ``find_leaks`` takes the first two if not told.
-KINDS = ("exact", "changed", "words", "mixed")
+KINDS = ("exact", "changed", "words", "mixed", "short")
 #: Plain words of an item that count although its slots do not hold together.
 PLAIN_ENOUGH = 6
 #: Item windows, of under 100 bytes each, that every executor may hold.
@@ -165,7 +166,8 @@ def find_leaks(
     ``benchmark`` has ``item_id`` and ``text``. Returns :func:`row_key`, ``doc_id``, ``item_id``,
     ``n_matched`` and ``n_windows`` (of the item), and ``kind``: ``exact`` where all slots hold
     the item's values, ``changed`` where they hold others, ``words`` where only the words in
-    lower case match, ``mixed`` where a value became several. Only ``kinds`` are returned, the first of :data:`KINDS` that holds.
+    lower case match, ``mixed`` where a value became several, ``short`` for an item of fewer
+    words than a window. Only ``kinds`` are returned, the first of :data:`KINDS` that holds.
     """
     items = benchmark.select(
         F.monotonically_increasing_id().alias("item_row"), "item_id", F.col("text").alias("text")
@@ -173,7 +175,9 @@ def find_leaks(
     items = keep(items, "items")
     told = keep(_item_windows(items, window), "item-windows")
     n = F.count(F.lit(1)).cast("long")
-    sizes = told.groupBy("item_row", "plain").agg(n.alias("n_windows"), F.max("drift").alias("drift"))
+    sizes = told.groupBy("item_row", "plain").agg(
+        n.alias("n_windows"), F.max("drift").alias("drift"), F.max("length").alias("longest")
+    )
     sizes = sizes.withColumn("needed", _needed(F.col("n_windows"), window, share))
     if "words" not in kinds:
         told = told.where("not plain")
@@ -205,7 +209,7 @@ def find_leaks(
     band = F.floor(F.col("shift") / F.col("drift"))
     bands = lines.withColumn("band", F.explode(F.array(band, band - 1)))
     matched = F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).cast("long")
-    bands = bands.groupBy(*place, "n_windows", "needed", "band").agg(
+    bands = bands.groupBy(*place, "n_windows", "needed", "longest", "band").agg(
         matched.alias("n_matched"), F.collect_list(F.struct("shift", "ats")).alias("lines")
     )
     lines = keep(bands.where("n_matched >= needed"), "alignments")
@@ -213,7 +217,8 @@ def find_leaks(
     judged = lines.join(_steadiness(lines.where("not plain"), items, rows, keys, window), keys, "left")
     enough = F.col("n_plain") >= F.greatest(F.lit(PLAIN_ENOUGH), "n_unsteady")
     kind = (
-        F.when(F.col("plain"), 2)
+        F.when(F.col("plain") & (F.col("longest") < window), 4)
+        .when(F.col("plain"), 2)
         .when(~F.coalesce("steady", F.lit(True)), F.when(enough, 3))
         .otherwise(F.when(F.coalesce("same", F.lit(True)), 0).otherwise(1))
     )
