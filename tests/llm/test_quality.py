@@ -5,7 +5,9 @@ from collections import Counter
 
 import numpy as np
 
-from tripstrata.llm import boosting, queries, rules
+from pyspark.sql import functions as F
+
+from tripstrata.llm import blocks, boosting, queries, rules
 
 SF = "/root/testdata/sf0.01"
 
@@ -71,3 +73,14 @@ def test_list_of_rules():
     for r in rows:
         assert any(all(c.holds(r) for c in rule) for rule in found) == r["bad"]
     assert rules.learn_list([blank | {"bad": False}] * 50) == rules.learn_list([]) == []
+
+
+def test_the_sample_is_that_of_an_ordered_limit(spark):
+    rows = spark.range(0, 3000, 1, 7).select((F.col("id") % 1500).alias("doc_id"), F.col("id").alias("x"))
+    for n in (0, 1, 40, 700, 2999, 5000):
+        want = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(n).collect()
+        got = blocks.least_hashed(rows, "doc_id", n, ["x"])
+        assert [(r.doc_id, r.x) for r in got] == [tuple(r) for r in want]
+    one = rows.select(F.lit(7).alias("doc_id"), "x")
+    assert len(blocks.least_hashed(one, "doc_id", 40, ["x"])) == 40
+    assert blocks.least_hashed(rows.limit(0), "doc_id", 5, ["x"]) == []

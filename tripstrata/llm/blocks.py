@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tripstrata.sources.workspace import new_folder
@@ -69,6 +69,24 @@ def keep(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def least_hashed(rows: DataFrame, id_col: str, n: int, ties: list[str]) -> list[Row]:
+    """The ``n`` rows of least hash of their id, or all if they are fewer; ``ties`` part equal ids.
+
+    An ordered limit would send ``n`` rows of every task to the driver. So rows are written,
+    and only those below a bound are ordered: one that about ``n`` and a quarter more are
+    expected to pass, and a higher one should they be too few.
+    """
+    hashed = keep(rows.withColumn("_hash", F.xxhash64(id_col)), "hashed")
+    share = 1.25 * n / max(1, hashed.count())
+    while True:
+        some = hashed
+        if share < 1:
+            some = hashed.where(F.col("_hash") <= int((share - 0.5) * 2.0**64))
+        if share >= 1 or some.count() >= n:
+            return some.orderBy("_hash", id_col, *ties).limit(n).collect()
+        share *= 2
+
+
 def planes(values: np.ndarray) -> bytes:
     """Bytes of integers, all first bytes first: high zero bytes then compress to nothing."""
     return values.view(np.uint8).reshape(len(values), -1).T.tobytes()

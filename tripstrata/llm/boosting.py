@@ -227,8 +227,7 @@ def quality_scores(
     marks = labels.where("quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     marks = marks.agg((F.avg("quality") >= 0.5).cast("double").alias("quality"))
     sample = stats.join(marks, "doc_id").where(~is_held_out("doc_id"))
-    sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id", "stats").limit(sample_rows)
-    rows = sample.select("stats", "quality").collect()
+    rows = B.least_hashed(sample.select("doc_id", "stats", "quality"), "doc_id", sample_rows, ["stats"])
     x = np.array([np.frombuffer(r.stats, np.float32) for r in rows]).reshape(-1, len(FEATURES))
     trees = learn(x, np.array([r.quality for r in rows]))
 

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripstrata.llm.blocks import keep
+from tripstrata.llm.blocks import keep, least_hashed
 from tripstrata.llm.boosting import is_held_out
 
 #: Most labelled rows learned from; those of least hash of their id.
@@ -250,8 +250,8 @@ def quality_rules(
     marks = marks.agg((F.avg("quality") < 0.5).alias("bad"))
     base_failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     sample = stats.join(marks, "doc_id").where(~base_failed & ~is_held_out("doc_id"))
-    sample = sample.orderBy(F.xxhash64("doc_id"), *FEATURES).limit(sample_rows)
-    rules = learn_list([r.asDict() for r in sample.collect()])
+    rows = least_hashed(sample, "doc_id", sample_rows, FEATURES)
+    rules = learn_list([r.asDict() for r in rows])
     done = stats.select(
         "doc_id",
         "n_words",
