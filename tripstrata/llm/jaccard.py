@@ -189,6 +189,62 @@ def join_region(sets: list[np.ndarray], group: list[int], percent: int):
     return found
 
 
+def _named(left: pa.Table, right: pa.Table, name: str) -> pa.Table:
+    """The rows of a block that ``right`` names."""
+    return left.filter(pa.array(np.isin(left["row_id"].to_numpy(), right[name].to_numpy())))
+
+
+def _sets_of(by_block, rows: DataFrame, shingle: int) -> DataFrame:
+    """``row_id`` and ``items``, its sorted hashes, for ``rows`` of row id and block."""
+
+    def sets(left: pa.Table, right: pa.Table) -> pa.Table:
+        some = _named(left, right, "row_id")
+        found = _Sets(some, shingle)
+        return pa.table(
+            {
+                "row_id": some["row_id"],
+                "items": pa.array([found.of(i) for i in range(some.num_rows)], pa.binary()),
+            }
+        )
+
+    made = by_block.cogroup(rows.groupBy("block")).applyInArrow(sets, "row_id long, items binary")
+    return B.keep(made, "sets")
+
+
+def _verified_at_home(
+    pairs: DataFrame, by_block, where: DataFrame, pivots: DataFrame, shingle: int, percent: int
+) -> DataFrame:
+    """The pairs ``a``, ``b`` whose sets link, for pairs with one ``b`` for each ``a``.
+
+    The set of a ``b`` goes once to each block that has an ``a`` of it; sets of ``a`` are made
+    where their texts lie and go nowhere. A block gets no more sets than it has texts.
+    """
+    at = where.select(F.col("row_id").alias("a"), "block")
+    homes = B.keep(pairs.join(at, "a"), "homes")
+    wanted = homes.select("block", "b").distinct()
+    sent = wanted.join(pivots.withColumnRenamed("row_id", "b"), "b")
+    asked = homes.unionByName(sent, allowMissingColumns=True).groupBy("block")
+
+    def check(left: pa.Table, right: pa.Table) -> pa.Table:
+        asked = right.filter(pc.is_valid(right["a"]))
+        some = _named(left, asked, "a")
+        found = _Sets(some, shingle)
+        place = {row: i for i, row in enumerate(some["row_id"].to_pylist())}
+        told = right.filter(pc.is_valid(right["items"]))
+        items = dict(zip(told["b"].to_pylist(), told["items"].to_pylist()))
+        ends = [(a, b) for a, b in zip(asked["a"].to_pylist(), asked["b"].to_pylist())]
+        own = {a: found.values[found.first[place[a]] : found.first[place[a] + 1]] for a, _ in ends}
+        links = [(a, b) for a, b in ends if linked(own[a], np.frombuffer(items[b], np.uint64), percent)]
+        return pa.table(
+            {
+                "a": pa.array([a for a, _ in links], pa.int64()),
+                "b": pa.array([b for _, b in links], pa.int64()),
+            }
+        )
+
+    return by_block.cogroup(asked).applyInArrow(check, "a long, b long")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a``, ``b`` whose sets link."""
     ends = [
@@ -299,19 +355,12 @@ def similarity_components(
         _, ids, hashes, rows = shared(left, right)
         return pa.table({"slice": pa.array(hashes.view(np.int64)), "row_id": pa.array(ids[rows], pa.int64())})
 
-    def share_sets(left: pa.Table, right: pa.Table) -> pa.Table:
-        sets, ids, _, rows = shared(left, right)
-        some = np.unique(rows)
-        return pa.table(
-            {
-                "row_id": pa.array(ids[some], pa.int64()),
-                "items": pa.array([sets.of(i) for i in some], pa.binary()),
-            }
-        )
-
     both = by_block.cogroup(marks)
     slices = B.keep(both.applyInArrow(share_slices, "slice long, row_id long"), "slices")
-    sets = B.keep(both.applyInArrow(share_sets, "row_id long, items binary"), "sets")
+    where = nodes.select("lead.row_id", "lead.block")
+
+    def sets_of(rows: DataFrame) -> DataFrame:
+        return _sets_of(by_block, rows.join(where, "row_id"), shingle)
 
     pivots = slices.groupBy("slice").agg(F.min("row_id").alias("pivot"))
     # Not partitioned by slice, so that a slice of many documents can be split.
@@ -319,12 +368,14 @@ def similarity_components(
     cells = slices.join(spread, "slice").where("row_id != pivot")
     cells = B.keep(cells.select(F.col("row_id").alias("a"), F.col("pivot").alias("b")).distinct(), "cells")
     nearest = cells.groupBy("a").agg(F.min("b").alias("b"))
-    links = B.keep(_verified(nearest, sets, percent), "links")
+    pivot_sets = sets_of(nearest.select(F.col("b").alias("row_id")).distinct())
+    links = B.keep(_verified_at_home(nearest, by_block, where, pivot_sets, shingle, percent), "links")
     parts = B.keep(components(links), "parts")
-    apart = _with_parts(cells, parts).where("a_part != b_part").select("a", "b")
-    links = links.unionByName(B.keep(_verified(apart, sets, percent), "links"))
+    apart = B.keep(_with_parts(cells, parts).where("a_part != b_part").select("a", "b"), "apart")
+    ends = apart.select(F.explode(F.array("a", "b")).alias("row_id")).distinct()
+    links = links.unionByName(B.keep(_verified(apart, sets_of(ends), percent), "links"))
     parts = B.keep(components(links), "parts")
-    links = links.unionByName(_regions(cells, parts, sets, percent))
+    links = links.unionByName(_regions(cells, parts, sets_of, percent))
     parts = B.keep(components(links), "parts")
 
     named = printed.join(
@@ -371,7 +422,7 @@ def leads_and_replies(nodes: DataFrame, replies: DataFrame) -> DataFrame:
     return nodes.select("lead.block", "lead.row_id").unionByName(replies, allowMissingColumns=True)
 
 
-def _regions(cells: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _regions(cells: DataFrame, parts: DataFrame, sets_of, percent: int) -> DataFrame:
     """Links across components within the regions whose documents are not all connected.
 
     Documents that agree in a slice have cells with one pivot, so a region is a pivot with
@@ -383,6 +434,7 @@ def _regions(cells: DataFrame, parts: DataFrame, sets: DataFrame, percent: int)
     members = inside.select(F.col("b").alias("pivot"), F.col("a").alias("row_id"), F.col("a_part").alias("part"))
     pivots = inside.select(F.col("b").alias("pivot"), F.col("b").alias("row_id"), F.col("b_part").alias("part"))
     members = B.keep(members.unionByName(pivots.distinct()), "regions")
+    sets = sets_of(members.select("row_id").distinct())
     sizes = members.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / REGION).alias("n_parts"))
     spread = members.join(sizes, "pivot").withColumn(
         "mine", F.pmod(F.xxhash64("row_id"), F.col("n_parts"))
