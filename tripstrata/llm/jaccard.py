@@ -21,6 +21,8 @@ never written out within a group.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -69,8 +71,8 @@ class _Sets:
         self.first = np.searchsorted(self.owner, np.arange(len(self.texts) + 1))
         self.size = np.diff(self.first)
 
-    def of(self, i: int) -> bytes:
-        return self.values[self.first[i] : self.first[i + 1]].tobytes()
+    def values_of(self, i: int) -> np.ndarray:
+        return self.values[self.first[i] : self.first[i + 1]]
 
     def prints(self) -> list[np.ndarray]:
         """Two hashes of every set."""
@@ -194,8 +196,30 @@ def _named(left: pa.Table, right: pa.Table, name: str) -> pa.Table:
     return left.filter(pa.array(np.isin(left["row_id"].to_numpy(), right[name].to_numpy())))
 
 
-def _sets_of(by_block, rows: DataFrame, shingle: int) -> DataFrame:
-    """``row_id`` and ``items``, its sorted hashes, for ``rows`` of row id and block."""
+def sketch(values: np.ndarray) -> bytes:
+    """A set as eight bits for each element, one of them set by each: an eighth of its hashes."""
+    size = 8 * len(values)
+    bits = np.zeros(size, dtype=bool)
+    bits[(values % np.uint64(max(size, 1))).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
+
+
+def may_link(a: np.ndarray, raw: bytes, percent: int) -> bool:
+    """Can a set link with that of a sketch? Elements in both always meet a bit that is set."""
+    if not len(raw):
+        return False
+    at = (a % np.uint64(8 * len(raw))).astype(np.int64)
+    hits = np.frombuffer(raw, np.uint8)[at >> 3] >> (7 - (at & 7)) & 1
+    shared = min(int(hits.sum()), len(raw))
+    return 100 * shared >= percent * (len(a) + len(raw) - shared)
+
+
+def links_with(a: np.ndarray, raw: bytes, percent: int) -> bool:
+    return linked(a, np.frombuffer(raw, np.uint64), percent)
+
+
+def _sets_of(by_block, rows: DataFrame, shingle: int, pack: Callable[[np.ndarray], bytes]) -> DataFrame:
+    """``row_id`` and ``items``, its sorted hashes packed, for ``rows`` of row id and block."""
 
     def sets(left: pa.Table, right: pa.Table) -> pa.Table:
         some = _named(left, right, "row_id")
@@ -203,7 +227,7 @@ def _sets_of(by_block, rows: DataFrame, shingle: int) -> DataFrame:
         return pa.table(
             {
                 "row_id": some["row_id"],
-                "items": pa.array([found.of(i) for i in range(some.num_rows)], pa.binary()),
+                "items": pa.array([pack(found.values_of(i)) for i in range(some.num_rows)], pa.binary()),
             }
         )
 
@@ -212,9 +236,15 @@ def _sets_of(by_block, rows: DataFrame, shingle: int) -> DataFrame:
 
 
 def _verified_at_home(
-    pairs: DataFrame, by_block, where: DataFrame, pivots: DataFrame, shingle: int, percent: int
+    pairs: DataFrame,
+    by_block,
+    where: DataFrame,
+    pivots: DataFrame,
+    shingle: int,
+    percent: int,
+    test: Callable[[np.ndarray, bytes, int], bool],
 ) -> DataFrame:
-    """The pairs ``a``, ``b`` whose sets link, for pairs with one ``b`` for each ``a``.
+    """The pairs ``a``, ``b`` that pass a test, for pairs with one ``b`` for each ``a``.
 
     The set of a ``b`` goes once to each block that has an ``a`` of it; sets of ``a`` are made
     where their texts lie and go nowhere. A block gets no more sets than it has texts.
@@ -233,8 +263,7 @@ def _verified_at_home(
         told = right.filter(pc.is_valid(right["items"]))
         items = dict(zip(told["b"].to_pylist(), told["items"].to_pylist()))
         ends = [(a, b) for a, b in zip(asked["a"].to_pylist(), asked["b"].to_pylist())]
-        own = {a: found.values[found.first[place[a]] : found.first[place[a] + 1]] for a, _ in ends}
-        links = [(a, b) for a, b in ends if linked(own[a], np.frombuffer(items[b], np.uint64), percent)]
+        links = [(a, b) for a, b in ends if test(found.values_of(place[a]), items[b], percent)]
         return pa.table(
             {
                 "a": pa.array([a for a, _ in links], pa.int64()),
@@ -359,8 +388,8 @@ def similarity_components(
     slices = B.keep(both.applyInArrow(share_slices, "slice long, row_id long"), "slices")
     where = nodes.select("lead.row_id", "lead.block")
 
-    def sets_of(rows: DataFrame) -> DataFrame:
-        return _sets_of(by_block, rows.join(where, "row_id"), shingle)
+    def sets_of(rows: DataFrame, pack=np.ndarray.tobytes) -> DataFrame:
+        return _sets_of(by_block, rows.join(where, "row_id"), shingle, pack)
 
     pivots = slices.groupBy("slice").agg(F.min("row_id").alias("pivot"))
     # Not partitioned by slice, so that a slice of many documents can be split.
@@ -368,8 +397,11 @@ def similarity_components(
     cells = slices.join(spread, "slice").where("row_id != pivot")
     cells = B.keep(cells.select(F.col("row_id").alias("a"), F.col("pivot").alias("b")).distinct(), "cells")
     nearest = cells.groupBy("a").agg(F.min("b").alias("b"))
-    pivot_sets = sets_of(nearest.select(F.col("b").alias("row_id")).distinct())
-    links = B.keep(_verified_at_home(nearest, by_block, where, pivot_sets, shingle, percent), "links")
+    # Sketches rule out most of what cannot link; what they pass is compared in full.
+    links = nearest
+    for pack, test in ((sketch, may_link), (np.ndarray.tobytes, links_with)):
+        sent = sets_of(links.select(F.col("b").alias("row_id")).distinct(), pack)
+        links = B.keep(_verified_at_home(links, by_block, where, sent, shingle, percent, test), "links")
     parts = B.keep(components(links), "parts")
     apart = B.keep(_with_parts(cells, parts).where("a_part != b_part").select("a", "b"), "apart")
     ends = apart.select(F.explode(F.array("a", "b")).alias("row_id")).distinct()
