@@ -88,18 +88,17 @@ def test_words_that_weak_hashes_confuse(spark):
     assert sorted((tuple(r) for r in done.collect()), key=str) == brute(rows)
 
 
-def test_a_sketch_rules_out_no_link():
-    pick = np.random.default_rng(2)
-    for size in (1, 2, 9, 100, 3000):
-        for shared in {0, size // 2, size * 8 // 10, size * 9 // 10, size}:
-            both = pick.integers(0, 1 << 63, shared).astype(np.uint64)
-            a, b = (
-                np.unique(np.concatenate([both, pick.integers(0, 1 << 63, size - shared).astype(np.uint64)]))
-                for _ in "ab"
-            )
-            for percent in (80, 90, 100):
-                if jaccard.linked(a, b, percent):
-                    assert jaccard.may_link(a, jaccard.sketch(b), percent)
-    assert not jaccard.may_link(a, jaccard.sketch(a[:0]), 80)
-    apart = pick.integers(0, 1 << 63, 3000).astype(np.uint64)
-    assert not jaccard.may_link(a, jaccard.sketch(apart), 80)
+def test_a_set_that_many_blocks_want(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "FEW", 1)
+    monkeypatch.setattr(jaccard.B, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(jaccard.B.n_blocks, "__defaults__", ("text", 2000))
+    pick = random.Random(8)
+    words = [f"w{i}" for i in range(60)]
+    rows = []
+    for n in range(90):
+        text = list(words)
+        text[pick.randrange(60)] = f"x{n}" if n % 3 else "w"
+        rows.append((n, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    done = jaccard.similarity_components(docs).select("doc_id", "n_shingles", "component_id")
+    assert sorted((tuple(r) for r in done.collect()), key=str) == brute(rows)

@@ -21,8 +21,6 @@ never written out within a group.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -41,6 +39,8 @@ PERCENT = 90
 REGION = 2000
 #: Slices beyond the least number, in hundredths of it, so that empty ones need not be sent.
 SPARE = 12
+#: Blocks that a set is sent to out of its own block.
+FEW = 16
 _PER_BLOCK = 120_000
 _SLICES = 1
 
@@ -74,6 +74,9 @@ class _Sets:
     def values_of(self, i: int) -> np.ndarray:
         return self.values[self.first[i] : self.first[i + 1]]
 
+    def of(self, i: int) -> bytes:
+        return self.values_of(i).tobytes()
+
     def prints(self) -> list[np.ndarray]:
         """Two hashes of every set."""
         out = []
@@ -196,30 +199,8 @@ def _named(left: pa.Table, right: pa.Table, name: str) -> pa.Table:
     return left.filter(pa.array(np.isin(left["row_id"].to_numpy(), right[name].to_numpy())))
 
 
-def sketch(values: np.ndarray) -> bytes:
-    """A set as eight bits for each element, one of them set by each: an eighth of its hashes."""
-    size = 8 * len(values)
-    bits = np.zeros(size, dtype=bool)
-    bits[(values % np.uint64(max(size, 1))).astype(np.int64)] = True
-    return np.packbits(bits).tobytes()
-
-
-def may_link(a: np.ndarray, raw: bytes, percent: int) -> bool:
-    """Can a set link with that of a sketch? Elements in both always meet a bit that is set."""
-    if not len(raw):
-        return False
-    at = (a % np.uint64(8 * len(raw))).astype(np.int64)
-    hits = np.frombuffer(raw, np.uint8)[at >> 3] >> (7 - (at & 7)) & 1
-    shared = min(int(hits.sum()), len(raw))
-    return 100 * shared >= percent * (len(a) + len(raw) - shared)
-
-
-def links_with(a: np.ndarray, raw: bytes, percent: int) -> bool:
-    return linked(a, np.frombuffer(raw, np.uint64), percent)
-
-
-def _sets_of(by_block, rows: DataFrame, shingle: int, pack: Callable[[np.ndarray], bytes]) -> DataFrame:
-    """``row_id`` and ``items``, its sorted hashes packed, for ``rows`` of row id and block."""
+def _sets_of(by_block, rows: DataFrame, shingle: int) -> DataFrame:
+    """``row_id`` and ``items``, its sorted hashes, for ``rows`` of row id and block."""
 
     def sets(left: pa.Table, right: pa.Table) -> pa.Table:
         some = _named(left, right, "row_id")
@@ -227,7 +208,7 @@ def _sets_of(by_block, rows: DataFrame, shingle: int, pack: Callable[[np.ndarray
         return pa.table(
             {
                 "row_id": some["row_id"],
-                "items": pa.array([pack(found.values_of(i)) for i in range(some.num_rows)], pa.binary()),
+                "items": pa.array([found.of(i) for i in range(some.num_rows)], pa.binary()),
             }
         )
 
@@ -236,24 +217,34 @@ def _sets_of(by_block, rows: DataFrame, shingle: int, pack: Callable[[np.ndarray
 
 
 def _verified_at_home(
-    pairs: DataFrame,
-    by_block,
-    where: DataFrame,
-    pivots: DataFrame,
-    shingle: int,
-    percent: int,
-    test: Callable[[np.ndarray, bytes, int], bool],
+    pairs: DataFrame, by_block, where: DataFrame, shingle: int, percent: int
 ) -> DataFrame:
-    """The pairs ``a``, ``b`` that pass a test, for pairs with one ``b`` for each ``a``.
+    """The pairs ``a``, ``b`` whose sets link, for pairs with one ``b`` for each ``a``.
 
     The set of a ``b`` goes once to each block that has an ``a`` of it; sets of ``a`` are made
-    where their texts lie and go nowhere. A block gets no more sets than it has texts.
+    where their texts lie and go nowhere. A block gets no more sets than it has texts. A set
+    that few blocks want leaves its own block as often as it is wanted; one that many want,
+    which a block could not hold so often, is written once and joined with them.
     """
     at = where.select(F.col("row_id").alias("a"), "block")
     homes = B.keep(pairs.join(at, "a"), "homes")
-    wanted = homes.select("block", "b").distinct()
-    sent = wanted.join(pivots.withColumnRenamed("row_id", "b"), "b")
-    asked = homes.unionByName(sent, allowMissingColumns=True).groupBy("block")
+    wanted = homes.select("b", F.col("block").alias("to")).distinct()
+    wanted = B.keep(wanted.join(wanted.groupBy("b").agg(F.count(F.lit(1)).alias("n")), "b"), "wanted")
+    few = wanted.where(F.col("n") <= FEW).join(where.withColumnRenamed("row_id", "b"), "b")
+
+    def send(left: pa.Table, right: pa.Table) -> pa.Table:
+        some = _named(left, right, "b")
+        found = _Sets(some, shingle)
+        place = {row: i for i, row in enumerate(some["row_id"].to_pylist())}
+        items = [found.of(place[b]) for b in right["b"].to_pylist()]
+        return pa.table({"block": right["to"], "b": right["b"], "items": pa.array(items, pa.binary())})
+
+    routes = few.select("block", "b", "to").groupBy("block")
+    sent = by_block.cogroup(routes).applyInArrow(send, "block long, b long, items binary")
+    many = wanted.where(F.col("n") > FEW).select("b", F.col("to").alias("block"))
+    ends = many.select(F.col("b").alias("row_id")).distinct().join(where, "row_id")
+    often = many.join(_sets_of(by_block, ends, shingle).withColumnRenamed("row_id", "b"), "b")
+    asked = homes.unionByName(sent, True).unionByName(often, True).groupBy("block")
 
     def check(left: pa.Table, right: pa.Table) -> pa.Table:
         asked = right.filter(pc.is_valid(right["a"]))
@@ -263,7 +254,11 @@ def _verified_at_home(
         told = right.filter(pc.is_valid(right["items"]))
         items = dict(zip(told["b"].to_pylist(), told["items"].to_pylist()))
         ends = [(a, b) for a, b in zip(asked["a"].to_pylist(), asked["b"].to_pylist())]
-        links = [(a, b) for a, b in ends if test(found.values_of(place[a]), items[b], percent)]
+        links = [
+            (a, b)
+            for a, b in ends
+            if linked(found.values_of(place[a]), np.frombuffer(items[b], np.uint64), percent)
+        ]
         return pa.table(
             {
                 "a": pa.array([a for a, _ in links], pa.int64()),
@@ -388,8 +383,8 @@ def similarity_components(
     slices = B.keep(both.applyInArrow(share_slices, "slice long, row_id long"), "slices")
     where = nodes.select("lead.row_id", "lead.block")
 
-    def sets_of(rows: DataFrame, pack=np.ndarray.tobytes) -> DataFrame:
-        return _sets_of(by_block, rows.join(where, "row_id"), shingle, pack)
+    def sets_of(rows: DataFrame) -> DataFrame:
+        return _sets_of(by_block, rows.join(where, "row_id"), shingle)
 
     pivots = slices.groupBy("slice").agg(F.min("row_id").alias("pivot"))
     # Not partitioned by slice, so that a slice of many documents can be split.
@@ -397,11 +392,7 @@ def similarity_components(
     cells = slices.join(spread, "slice").where("row_id != pivot")
     cells = B.keep(cells.select(F.col("row_id").alias("a"), F.col("pivot").alias("b")).distinct(), "cells")
     nearest = cells.groupBy("a").agg(F.min("b").alias("b"))
-    # Sketches rule out most of what cannot link; what they pass is compared in full.
-    links = nearest
-    for pack, test in ((sketch, may_link), (np.ndarray.tobytes, links_with)):
-        sent = sets_of(links.select(F.col("b").alias("row_id")).distinct(), pack)
-        links = B.keep(_verified_at_home(links, by_block, where, sent, shingle, percent, test), "links")
+    links = B.keep(_verified_at_home(nearest, by_block, where, shingle, percent), "links")
     parts = B.keep(components(links), "parts")
     apart = B.keep(_with_parts(cells, parts).where("a_part != b_part").select("a", "b"), "apart")
     ends = apart.select(F.explode(F.array("a", "b")).alias("row_id")).distinct()
