@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tripstrata.sources.workspace import new_folder
@@ -69,6 +69,16 @@ def keep(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of steps whose results were kept.
+
+    Spark does so once the driver's garbage collector has found that no plan needs them; a
+    driver with little garbage comes to that late, and files of many steps pile up. Nothing
+    is lost: later steps start from the written results.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def least_hashed(rows: DataFrame, id_col: str, n: int, ties: list[str]) -> list[Row]:
     """The ``n`` rows of least hash of their id, or all if they are fewer; ``ties`` part equal ids.
 

@@ -381,6 +381,7 @@ def similarity_components(
 
     both = by_block.cogroup(marks)
     slices = B.keep(both.applyInArrow(share_slices, "slice long, row_id long"), "slices")
+    B.release(docs.sparkSession)
     where = nodes.select("lead.row_id", "lead.block")
 
     def sets_of(rows: DataFrame) -> DataFrame:
@@ -394,12 +395,15 @@ def similarity_components(
     nearest = cells.groupBy("a").agg(F.min("b").alias("b"))
     links = B.keep(_verified_at_home(nearest, by_block, where, shingle, percent), "links")
     parts = B.keep(components(links), "parts")
+    B.release(docs.sparkSession)
     apart = B.keep(_with_parts(cells, parts).where("a_part != b_part").select("a", "b"), "apart")
     ends = apart.select(F.explode(F.array("a", "b")).alias("row_id")).distinct()
     links = links.unionByName(B.keep(_verified(apart, sets_of(ends), percent), "links"))
     parts = B.keep(components(links), "parts")
+    B.release(docs.sparkSession)
     links = links.unionByName(_regions(cells, parts, sets_of, percent))
     parts = B.keep(components(links), "parts")
+    B.release(docs.sparkSession)
 
     named = printed.join(
         nodes.select("one", "two", "n_shingles", F.col("lead.row_id").alias("node")),
