@@ -102,3 +102,19 @@ def test_a_set_that_many_blocks_want(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     done = jaccard.similarity_components(docs).select("doc_id", "n_shingles", "component_id")
     assert sorted((tuple(r) for r in done.collect()), key=str) == brute(rows)
+
+
+def test_first_bits_rule_out_no_link():
+    pick = np.random.default_rng(2)
+    for size in (1, 2, 9, 100, 3000):
+        for shared in {0, size // 2, size * 8 // 10, size * 9 // 10, size}:
+            both = pick.integers(0, 1 << 63, shared).astype(np.uint64)
+            a, b = (
+                np.unique(np.concatenate([both, pick.integers(0, 1 << 63, size - shared).astype(np.uint64)]))
+                for _ in "ab"
+            )
+            first = [(x >> np.uint64(48)).astype(np.uint16) for x in (a, b)]
+            for percent in (80, 90, 100):
+                if jaccard.linked(a, b, percent):
+                    assert jaccard.may_link(*first, percent)
+    assert not jaccard.may_link(first[0], (a[::-1] >> np.uint64(40)).astype(np.uint16)[:0], 80)

@@ -199,8 +199,22 @@ def _named(left: pa.Table, right: pa.Table, name: str) -> pa.Table:
     return left.filter(pa.array(np.isin(left["row_id"].to_numpy(), right[name].to_numpy())))
 
 
-def _sets_of(by_block, rows: DataFrame, shingle: int) -> DataFrame:
-    """``row_id`` and ``items``, its sorted hashes, for ``rows`` of row id and block."""
+def may_link(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Can sets link of whose hashes only the first bits are given? What they share agrees there."""
+    (one, n_one), (two, n_two) = (np.unique(x, return_counts=True) for x in (a, b))
+    _, at, other = np.intersect1d(one, two, assume_unique=True, return_indices=True)
+    shared = int(np.minimum(n_one[at], n_two[other]).sum())
+    return 100 * shared >= percent * (len(a) + len(b) - shared)
+
+
+def _sets_of(by_block, rows: DataFrame, shingle: int, short: bool = False) -> DataFrame:
+    """``row_id`` and ``items``, its sorted hashes, for ``rows`` of row id and block.
+
+    With ``short`` only the first 16 bits of each hash, which are a fourth of it.
+    """
+
+    def pack(values: np.ndarray) -> bytes:
+        return ((values >> np.uint64(48)).astype(np.uint16) if short else values).tobytes()
 
     def sets(left: pa.Table, right: pa.Table) -> pa.Table:
         some = _named(left, right, "row_id")
@@ -208,7 +222,7 @@ def _sets_of(by_block, rows: DataFrame, shingle: int) -> DataFrame:
         return pa.table(
             {
                 "row_id": some["row_id"],
-                "items": pa.array([found.of(i) for i in range(some.num_rows)], pa.binary()),
+                "items": pa.array([pack(found.values_of(i)) for i in range(some.num_rows)], pa.binary()),
             }
         )
 
@@ -269,8 +283,9 @@ def _verified_at_home(
     return by_block.cogroup(asked).applyInArrow(check, "a long, b long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a``, ``b`` whose sets link."""
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int, short: bool = False) -> DataFrame:
+    """The pairs ``a``, ``b`` whose sets link; with ``short`` sets, those that may."""
+    kind, test = (np.uint16, may_link) if short else (np.uint64, linked)
     ends = [
         sets.select(F.col("row_id").alias(x), F.col("items").alias(f"{x}_items")) for x in "ab"
     ]
@@ -279,7 +294,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def check(batches):
         for batch in batches:
             keep = [
-                linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
+                test(np.frombuffer(x, kind), np.frombuffer(y, kind), percent)
                 for x, y in zip(batch["a_items"].to_pylist(), batch["b_items"].to_pylist())
             ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -384,8 +399,11 @@ def similarity_components(
     B.release(docs.sparkSession)
     where = nodes.select("lead.row_id", "lead.block")
 
-    def sets_of(rows: DataFrame) -> DataFrame:
-        return _sets_of(by_block, rows.join(where, "row_id"), shingle)
+    def sets_of(rows: DataFrame, short: bool = False) -> DataFrame:
+        return _sets_of(by_block, rows.join(where, "row_id"), shingle, short)
+
+    def ends_of(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.explode(F.array("a", "b")).alias("row_id")).distinct()
 
     pivots = slices.groupBy("slice").agg(F.min("row_id").alias("pivot"))
     # Not partitioned by slice, so that a slice of many documents can be split.
@@ -397,8 +415,9 @@ def similarity_components(
     parts = B.keep(components(links), "parts")
     B.release(docs.sparkSession)
     apart = B.keep(_with_parts(cells, parts).where("a_part != b_part").select("a", "b"), "apart")
-    ends = apart.select(F.explode(F.array("a", "b")).alias("row_id")).distinct()
-    links = links.unionByName(B.keep(_verified(apart, sets_of(ends), percent), "links"))
+    # Most of these do not link, and the first bits of their hashes say so.
+    apart = B.keep(_verified(apart, sets_of(ends_of(apart), True), percent, True), "apart")
+    links = links.unionByName(B.keep(_verified(apart, sets_of(ends_of(apart)), percent), "links"))
     parts = B.keep(components(links), "parts")
     B.release(docs.sparkSession)
     links = links.unionByName(_regions(cells, parts, sets_of, percent))
