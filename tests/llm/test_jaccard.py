@@ -104,17 +104,76 @@ def test_a_set_that_many_blocks_want(spark, monkeypatch):
     assert sorted((tuple(r) for r in done.collect()), key=str) == brute(rows)
 
 
-def test_first_bits_rule_out_no_link():
+def sketched(sets):
+    """Sketches of sorted arrays of hashes."""
+    made = object.__new__(jaccard._Sets)
+    made.size = np.array([len(x) for x in sets])
+    made.owner = np.repeat(np.arange(len(sets)), made.size)
+    made.values = np.concatenate(sets)
+    return [np.frombuffer(x, np.uint8) for x in made.sketches()]
+
+
+def near_sets(pick, size, shared):
+    both = pick.integers(0, 1 << 64, shared, dtype=np.uint64)
+    return [
+        np.unique(np.concatenate([both, pick.integers(0, 1 << 64, n - shared, dtype=np.uint64)]))
+        for n in (size, shared + (size - shared) * 2 // 3)
+    ]
+
+
+def test_sketches_rule_out_no_link():
     pick = np.random.default_rng(2)
-    for size in (1, 2, 9, 100, 3000):
-        for shared in {0, size // 2, size * 8 // 10, size * 9 // 10, size}:
-            both = pick.integers(0, 1 << 63, shared).astype(np.uint64)
-            a, b = (
-                np.unique(np.concatenate([both, pick.integers(0, 1 << 63, size - shared).astype(np.uint64)]))
-                for _ in "ab"
-            )
-            first = [(x >> np.uint64(48)).astype(np.uint16) for x in (a, b)]
-            for percent in (80, 90, 100):
-                if jaccard.linked(a, b, percent):
+    for size in (1, 2, 9, 63, 66, 100, 130, 1030, 3000):
+        for shared in {0, size // 2, size * 8 // 10, size * 9 // 10, size * 95 // 100, size}:
+            a, b = near_sets(pick, size, shared)
+            first = (*sketched([a, b]), len(a), len(b))
+            for percent in (50, 80, 90, 100):
+                if len(b) and jaccard.linked(a, b, percent):
                     assert jaccard.may_link(*first, percent)
-    assert not jaccard.may_link(first[0], (a[::-1] >> np.uint64(40)).astype(np.uint16)[:0], 80)
+    a, b = near_sets(pick, 1000, 500)
+    assert not jaccard.may_link(*sketched([a, b]), len(a), len(b), 80)
+
+
+def test_sketches_of_many_equal_first_bits():
+    values = np.arange(1 << 12, dtype=np.uint64)
+    less = values[: len(values) * 9 // 20]
+    assert max(sketched([values])[0]) == 255
+    assert jaccard.may_link(*sketched([values, values]), len(values), len(values), 100)
+    assert jaccard.may_link(*sketched([values, less]), len(values), len(less), 45)
+
+
+def test_partners_are_those_that_may_link():
+    pick = np.random.default_rng(5)
+    for percent in (50, 80, 90):
+        sets = [x for size in (3, 60, 64, 70, 120, 300) for k in (5, 8, 9, 10) for x in near_sets(pick, size, size * k // 10)]
+        sets = [x for x in sets if len(x)]
+        sets += sets[:7]
+        sizes, group = np.array([len(x) for x in sets]), pick.integers(0, 4, len(sets))
+        sketches = sketched(sets)
+        got = jaccard.partners(sketches, sizes, group, percent)
+        for i in range(len(sets)):
+            wanted = [
+                group[i] != group[j]
+                and min(sizes[i], sizes[j]) * 100 >= percent * max(sizes[i], sizes[j])
+                and jaccard.may_link(sketches[i], sketches[j], int(sizes[i]), int(sizes[j]), percent)
+                for j in range(len(sets))
+            ]
+            assert got[i] == any(wanted)
+
+
+def test_links_that_no_pivot_has(spark, monkeypatch):
+    """Texts that link with each other only, over one passage that all texts hold."""
+    monkeypatch.setattr(jaccard, "REGION", 7)
+    pick = random.Random(4)
+    common = [f"c{i}" for i in range(40)]
+    rows = []
+    for n in range(120):
+        pick.seed(n // 4)
+        own = [f"{n // 4}v{pick.randrange(10**6)}" for _ in range(90)]
+        pick.seed(n)
+        own[pick.randrange(90)] = f"x{n}"
+        rows.append((n, " ".join(common + own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for percent in (80, 90):
+        done = jaccard.similarity_components(docs, percent=percent).select("doc_id", "n_shingles", "component_id")
+        assert sorted((tuple(r) for r in done.collect()), key=str) == brute(rows, percent)

@@ -9,10 +9,13 @@ and none is replicated by distance. Instead:
 * Candidates come from slices alone: sets of close size are cut into more slices by hash than
   the elements that linked sets can differ by, so linked sets agree in some slice. This loses
   no link.
-* The least document of a slice is its pivot. A document is first compared with the least of
-  its slices' pivots, then with those of other components, exactly. A slice whose documents are
-  not all connected by that is joined pair by pair from pivot to pivot; the triangle inequality
-  serves only to cut it where distances to a pivot leave a gap wider than the radius.
+* The least document of a slice is its pivot. Sketches, counts of hashes by their first bits,
+  rule out pivots that a document cannot link with; they lose no link either, as counts differ
+  by no more than the sets do. A document is then compared with the least of the pivots left,
+  and after that with those of other components, exactly. In a slice whose documents are not
+  all connected by that, sketches name those that may link across components, and these are
+  joined pair by pair from pivot to pivot; the triangle inequality serves only to cut such a
+  region where distances to a pivot leave a gap wider than the radius.
 
 Pairs within one component are not compared, as a link between them joins nothing new.
 Sets that are equal are one node. Only hashes that several documents share travel; pairs are
@@ -41,6 +44,8 @@ REGION = 2000
 SPARE = 12
 #: Blocks that a set is sent to out of its own block.
 FEW = 16
+#: Hashes of a set for each count of its sketch, and the bits of the smallest sketch.
+_PER_PATTERN, _LEAST_BITS, _MOST = 4, 4, 255
 _PER_BLOCK = 120_000
 _SLICES = 1
 
@@ -88,6 +93,22 @@ class _Sets:
         return out
 
 
+    def sketches(self) -> list[bytes]:
+        """How many hashes of every set begin with each pattern of bits, as bytes.
+
+        Four hashes share a pattern, or fewer; larger counts than a byte holds are cut.
+        """
+        few = np.maximum(self.size, 1) / _PER_PATTERN
+        bits = np.maximum(_LEAST_BITS, np.ceil(np.log2(few))).astype(np.int64)
+        ends = np.cumsum(1 << bits)
+        begin = ends - (1 << bits)
+        shift = (64 - bits[self.owner]).astype(np.uint64)
+        place = begin[self.owner] + (self.values >> shift).astype(np.int64)
+        total = int(ends[-1]) if len(ends) else 0
+        counts = np.minimum(np.bincount(place, minlength=total), _MOST).astype(np.uint8)
+        return [counts[a:b].tobytes() for a, b in zip(begin, ends)]
+
+
 def size_classes(most: int, percent: int) -> np.ndarray:
     """Ends of size ranges so wide that linked sets stand in one or in neighbouring ranges."""
     ends = [1]
@@ -199,32 +220,55 @@ def _named(left: pa.Table, right: pa.Table, name: str) -> pa.Table:
     return left.filter(pa.array(np.isin(left["row_id"].to_numpy(), right[name].to_numpy())))
 
 
-def may_link(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Can sets link of whose hashes only the first bits are given? What they share agrees there."""
-    (one, n_one), (two, n_two) = (np.unique(x, return_counts=True) for x in (a, b))
-    _, at, other = np.intersect1d(one, two, assume_unique=True, return_indices=True)
-    shared = int(np.minimum(n_one[at], n_two[other]).sum())
-    return 100 * shared >= percent * (len(a) + len(b) - shared)
+def _folded(sketch: np.ndarray, size: int) -> np.ndarray:
+    """A sketch, or rows of them, with the counts of fewer leading bits."""
+    while sketch.shape[-1] > size:
+        sketch = np.minimum(sketch[..., ::2] + sketch[..., 1::2], _MOST)
+    return sketch
 
 
-def _sets_of(by_block, rows: DataFrame, shingle: int, short: bool = False) -> DataFrame:
-    """``row_id`` and ``items``, its sorted hashes, for ``rows`` of row id and block.
+def may_link(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int, percent: int) -> bool:
+    """Can sets of ``n_a`` and ``n_b`` elements with these sketches link?
 
-    With ``short`` only the first 16 bits of each hash, which are a fourth of it.
+    Counts differ by no more than the elements that only one set has. Of linked sets these are
+    at most ``100 - percent`` for each ``100 + percent`` elements of both.
     """
+    least = min(len(a), len(b))
+    apart = np.abs(_folded(a.astype(np.int32), least) - _folded(b.astype(np.int32), least)).sum()
+    return int(apart) * (100 + percent) <= (n_a + n_b) * (100 - percent)
+
+
+def partners(sketches: list[np.ndarray], sizes: np.ndarray, group: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets may link with one of another group, by their sketches."""
+    found = np.zeros(len(sketches), dtype=bool)
+    widths = np.array([len(x) for x in sketches], dtype=np.int64)
+    for width in np.unique(widths):
+        # Sets of one width against those of the same and of larger ones.
+        rows = np.flatnonzero(widths >= width)
+        rows = rows[np.argsort(sizes[rows], kind="stable")]
+        # Linked sets differ less in size than by this, so no wider one is looked at.
+        rows = rows[: np.searchsorted(sizes[rows] * percent, 100 * sizes[widths == width].max(), "right")]
+        counts = np.stack([_folded(sketches[i].astype(np.int16), width) for i in rows])
+        n, own = sizes[rows], group[rows]
+        for at in np.flatnonzero(widths[rows] == width):
+            lo = np.searchsorted(n * 100, n[at] * percent)
+            hi = np.searchsorted(n * percent, n[at] * 100, "right")
+            others = lo + np.flatnonzero(own[lo:hi] != own[at])
+            apart = np.abs(counts[others] - counts[at]).sum(axis=1)
+            near = others[apart * (100 + percent) <= (n[others] + n[at]) * (100 - percent)]
+            found[rows[near]] = True
+            found[rows[at]] |= len(near) > 0
+    return found
+
 
-    def pack(values: np.ndarray) -> bytes:
-        return ((values >> np.uint64(48)).astype(np.uint16) if short else values).tobytes()
+def _sets_of(by_block, rows: DataFrame, shingle: int) -> DataFrame:
+    """``row_id`` and ``items``, its sorted hashes, for ``rows`` of row id and block."""
 
     def sets(left: pa.Table, right: pa.Table) -> pa.Table:
         some = _named(left, right, "row_id")
         found = _Sets(some, shingle)
-        return pa.table(
-            {
-                "row_id": some["row_id"],
-                "items": pa.array([pack(found.values_of(i)) for i in range(some.num_rows)], pa.binary()),
-            }
-        )
+        items = pa.array([found.of(i) for i in range(some.num_rows)], pa.binary())
+        return pa.table({"row_id": some["row_id"], "items": items})
 
     made = by_block.cogroup(rows.groupBy("block")).applyInArrow(sets, "row_id long, items binary")
     return B.keep(made, "sets")
@@ -283,23 +327,41 @@ def _verified_at_home(
     return by_block.cogroup(asked).applyInArrow(check, "a long, b long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int, short: bool = False) -> DataFrame:
-    """The pairs ``a``, ``b`` whose sets link; with ``short`` sets, those that may."""
-    kind, test = (np.uint16, may_link) if short else (np.uint64, linked)
-    ends = [
-        sets.select(F.col("row_id").alias(x), F.col("items").alias(f"{x}_items")) for x in "ab"
-    ]
-    rows = pairs.join(ends[0], "a").join(ends[1], "b").select("a", "b", "a_items", "b_items")
+def _both_ends(pairs: DataFrame, of: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` with the columns that ``of`` has for the rows at both ends."""
+    for x in "ab":
+        named = [F.col(c).alias(f"{x}_{c}") for c in of.columns if c != "row_id"]
+        pairs = pairs.join(of.select(F.col("row_id").alias(x), *named), x)
+    return pairs
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a``, ``b`` whose sets link."""
 
     def check(batches):
         for batch in batches:
             keep = [
-                test(np.frombuffer(x, kind), np.frombuffer(y, kind), percent)
+                linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
                 for x, y in zip(batch["a_items"].to_pylist(), batch["b_items"].to_pylist())
             ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return rows.mapInArrow(check, "a long, b long")
+    return _both_ends(pairs, sets).mapInArrow(check, "a long, b long")
+
+
+def _likely(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a``, ``b`` that may link by their sketches; loses no link."""
+
+    def check(batches):
+        for batch in batches:
+            columns = (batch[c].to_pylist() for c in ("a_sketch", "b_sketch", "a_n", "b_n"))
+            keep = [
+                may_link(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8), n, m, percent)
+                for x, y, n, m in zip(*columns)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return _both_ends(pairs, sketches).mapInArrow(check, "a long, b long")
 
 
 def _with_parts(pairs: DataFrame, parts: DataFrame) -> DataFrame:
@@ -351,11 +413,14 @@ def similarity_components(
         names = ["block", "row_id"]
         return pa.table([left[n] for n in names], names=names).append_column(
             "n_shingles", pa.array(sets.size, pa.int64())
-        ).append_column("one", pa.array(one)).append_column("two", pa.array(two))
+        ).append_column("one", pa.array(one)).append_column("two", pa.array(two)).append_column(
+            "sketch", pa.array(sets.sketches(), pa.binary())
+        )
 
     printed = B.keep(
         by_block.applyInArrow(
-            prints, "block long, row_id long, n_shingles long, one long, two long"
+            prints,
+            "block long, row_id long, n_shingles long, one long, two long, sketch binary",
         ),
         "set-prints",
     )
@@ -399,8 +464,11 @@ def similarity_components(
     B.release(docs.sparkSession)
     where = nodes.select("lead.row_id", "lead.block")
 
-    def sets_of(rows: DataFrame, short: bool = False) -> DataFrame:
-        return _sets_of(by_block, rows.join(where, "row_id"), shingle, short)
+    sketches = printed.join(where.select("row_id"), "row_id")
+    sketches = B.keep(sketches.select("row_id", F.col("n_shingles").alias("n"), "sketch"), "sketches")
+
+    def sets_of(rows: DataFrame) -> DataFrame:
+        return _sets_of(by_block, rows.join(where, "row_id"), shingle)
 
     def ends_of(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.explode(F.array("a", "b")).alias("row_id")).distinct()
@@ -410,17 +478,18 @@ def similarity_components(
     spread = pivots.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cells = slices.join(spread, "slice").where("row_id != pivot")
     cells = B.keep(cells.select(F.col("row_id").alias("a"), F.col("pivot").alias("b")).distinct(), "cells")
-    nearest = cells.groupBy("a").agg(F.min("b").alias("b"))
+    # Most documents that agree in a slice are not alike, and their sketches say so.
+    likely = B.keep(_likely(cells, sketches, percent), "likely")
+    B.release(docs.sparkSession)
+    nearest = likely.groupBy("a").agg(F.min("b").alias("b"))
     links = B.keep(_verified_at_home(nearest, by_block, where, shingle, percent), "links")
     parts = B.keep(components(links), "parts")
     B.release(docs.sparkSession)
-    apart = B.keep(_with_parts(cells, parts).where("a_part != b_part").select("a", "b"), "apart")
-    # Most of these do not link, and the first bits of their hashes say so.
-    apart = B.keep(_verified(apart, sets_of(ends_of(apart), True), percent, True), "apart")
+    apart = B.keep(_with_parts(likely, parts).where("a_part != b_part").select("a", "b"), "apart")
     links = links.unionByName(B.keep(_verified(apart, sets_of(ends_of(apart)), percent), "links"))
     parts = B.keep(components(links), "parts")
     B.release(docs.sparkSession)
-    links = links.unionByName(_regions(cells, parts, sets_of, percent))
+    links = links.unionByName(_regions(cells, parts, sketches, sets_of, percent))
     parts = B.keep(components(links), "parts")
     B.release(docs.sparkSession)
 
@@ -468,31 +537,35 @@ def leads_and_replies(nodes: DataFrame, replies: DataFrame) -> DataFrame:
     return nodes.select("lead.block", "lead.row_id").unionByName(replies, allowMissingColumns=True)
 
 
-def _regions(cells: DataFrame, parts: DataFrame, sets_of, percent: int) -> DataFrame:
+def _regions(
+    cells: DataFrame, parts: DataFrame, sketches: DataFrame, sets_of, percent: int
+) -> DataFrame:
     """Links across components within the regions whose documents are not all connected.
 
-    Documents that agree in a slice have cells with one pivot, so a region is a pivot with
-    the documents of its cells.
+    Documents that agree in a slice have cells with one pivot, so a region is the documents of
+    a pivot's cells; with the pivot itself they have been compared. Sketches name those that
+    may link with one of another component, and only their sets are sent.
     """
     at = _with_parts(cells, parts)
-    mixed = B.keep(at.where("a_part != b_part").select("b").distinct(), "mixed-regions")
-    inside = at.join(mixed, "b")
-    members = inside.select(F.col("b").alias("pivot"), F.col("a").alias("row_id"), F.col("a_part").alias("part"))
-    pivots = inside.select(F.col("b").alias("pivot"), F.col("b").alias("row_id"), F.col("b_part").alias("part"))
-    members = B.keep(members.unionByName(pivots.distinct()), "regions")
-    sets = sets_of(members.select("row_id").distinct())
-    sizes = members.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / REGION).alias("n_parts"))
-    spread = members.join(sizes, "pivot").withColumn(
-        "mine", F.pmod(F.xxhash64("row_id"), F.col("n_parts"))
+    several = at.groupBy("b").agg(F.min("a_part").alias("lo"), F.max("a_part").alias("hi"))
+    mixed = B.keep(several.where("lo != hi").select("b"), "mixed-regions")
+    members = at.join(mixed, "b").select(
+        F.col("b").alias("pivot"), F.col("a").alias("row_id"), F.col("a_part").alias("part")
     )
-    spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)))
-    spread = spread.select(
-        "pivot",
-        F.least("mine", "other").alias("lo"),
-        F.greatest("mine", "other").alias("hi"),
-        "row_id",
-        "part",
-    ).join(sets, "row_id")
+    members = B.keep(members, "regions")
+
+    def choose(table: pa.Table) -> pa.Table:
+        found = partners(
+            [np.frombuffer(x, np.uint8) for x in table["sketch"].to_pylist()],
+            table["n"].to_numpy(),
+            table["part"].to_numpy(),
+            percent,
+        )
+        return table.select(["pivot", "row_id", "part"]).filter(pa.array(found))
+
+    chosen = _in_parts(members).join(sketches, "row_id").groupBy("pivot", "lo", "hi")
+    chosen = chosen.applyInArrow(choose, "pivot long, row_id long, part long").distinct()
+    chosen = B.keep(chosen, "likely-members")
 
     def join(table: pa.Table) -> pa.Table:
         rows = table.select(["row_id", "part"]).to_pylist()
@@ -508,5 +581,22 @@ def _regions(cells: DataFrame, parts: DataFrame, sets_of, percent: int) -> DataF
             }
         )
 
-    found = spread.groupBy("pivot", "lo", "hi").applyInArrow(join, "a long, b long")
-    return B.keep(found, "links")
+    sets = sets_of(chosen.select("row_id").distinct())
+    found = _in_parts(chosen).join(sets, "row_id").groupBy("pivot", "lo", "hi")
+    return B.keep(found.applyInArrow(join, "a long, b long"), "links")
+
+
+def _in_parts(members: DataFrame) -> DataFrame:
+    """Regions of over ``REGION`` documents as pairs ``lo``, ``hi`` of parts of that size."""
+    sizes = members.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / REGION).alias("n_parts"))
+    spread = members.join(sizes, "pivot").withColumn(
+        "mine", F.pmod(F.xxhash64("row_id"), F.col("n_parts"))
+    )
+    spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)))
+    return spread.select(
+        "pivot",
+        F.least("mine", "other").alias("lo"),
+        F.greatest("mine", "other").alias("hi"),
+        "row_id",
+        "part",
+    )
