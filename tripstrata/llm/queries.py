@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,8 @@ from tripstrata.llm import (
 )
 from tripstrata.sources.workspace import new_folder
 
-TOKENIZERS = "/opt/tokenizers"
+#: Folder of the public tokenizer files, at the same place on every executor.
+TOKENIZERS = public_tokenizers.path("").rstrip("/")
 
 # The URL rules of the query, as host, path and verdict.
 URL_RULES = [
