@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import re
 from pathlib import Path
 
 from tripstrata.llm import queries, warc
@@ -44,7 +45,7 @@ def test_files_are_plain_gzip_and_lookups_are_exact(spark, tmp_path):
     pages = spark.createDataFrame([(i, f"http://e.org/{i % 5}", f"<p>{i}") for i in range(20)], "page_id long, url string, html string")
     folder = f"{tmp_path}/w"
     warc.write_archives(pages, folder)
-    whole = b"".join(gzip.decompress(f.read_bytes()) for f in Path(folder).glob("part-*"))
+    whole = b"".join(gzip.decompress(f.read_bytes()) for f in Path(folder).rglob("part-*"))
     assert whole.count(b"WARC/1.1\r\n") == 20
     index = warc.build_index(warc.captures(spark, folder))
     urls = spark.createDataFrame([("http://E.org/3",), ("http://none.org/",)], "url string")
@@ -56,3 +57,34 @@ def test_keys():
     assert warc.reversed_host_key("https://www.Example.com:443/a?b#c") == "com,example,www)/a?b"
     assert warc.reversed_host_key("http://u@h.org:81") == "org,h:81)/"
     assert warc.reversed_host_key(None) == ""
+
+
+def test_lookups_open_the_archives_they_name(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_RECORDS", 3)
+    rows = [(i, f"http://e.org/{i}", f"<p>{i}" * 50, "x") for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, archive string").repartition(2)
+    folder = f"{tmp_path}/w"
+    warc.write_archives(pages, folder)
+    archives = {f.parent.name for f in Path(folder).rglob("part-*")}
+    assert len(archives) >= 14
+    index = warc.build_index(warc.captures(spark, folder)).cache()
+    one = warc.fetch(spark, folder, warc.lookup(index, pages.where("page_id = 7").select("url")))
+    assert [(r.page_id, r.payload) for r in one.collect()] == [(7, "<p>7" * 50)]
+    # Spark lists the folders of other archives, but reads none of them.
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert len(set(re.findall(r"w\d+-\d+", re.search(r"PartitionFilters: \[(.*?)\]", plan)[1]))) == 1
+    # Ranges and archives beyond the bounds give the same.
+    monkeypatch.setattr(warc, "NAMED_RANGES", 5)
+    monkeypatch.setattr(warc, "NAMED_ARCHIVES", 2)
+    found = warc.fetch(spark, folder, warc.lookup(index, pages.select("url"))).collect()
+    assert sorted((r.page_id, r.payload) for r in found) == [(i, h) for i, _, h, _ in rows]
+
+
+def test_archives_are_bounded_in_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 2000)
+    texts = [hashlib.sha512(str(i).encode()).hexdigest() * (9 if i == 4 else 2) for i in range(30)]
+    pages = spark.createDataFrame([(i, "http://e.org/", t) for i, t in enumerate(texts)], "page_id long, url string, html string")
+    folder = f"{tmp_path}/w"
+    warc.write_archives(pages.coalesce(1), folder)
+    sizes = [f.stat().st_size for f in Path(folder).rglob("part-*")]
+    assert len(sizes) > 3 and max(sizes) < 2000 + 1000

@@ -6,12 +6,17 @@ that refer to it and hold its HTTP header only.
 
 The index holds one line per capture, sorted by reversed host, path and page id, in compressed
 blocks. Shards of it are cut by key, and each shard is searched by binary search in the first
-keys of its blocks, then in the one block found; what comes out are ranges of files, and only
-these are read.
+keys of its blocks, then in the one block found; what comes out are ranges of archives.
+An archive is one file in a folder of its own name, of bounded bytes and records, so a lookup
+opens the archives that its ranges name and no others. Where these are few, ranges are sent to
+them and records are cut out where the archive is read. Beyond the bounds ``NAMED_ARCHIVES``
+and ``NAMED_RANGES`` both sides are grouped by archive instead.
 
 Defined results: a null html is an empty payload; a null url has the empty key. Pages of one
 id and one payload are all responses. A null id is smaller than all others. Tables without
-rows give empty archives.
+rows give no archives. A record is never cut: one larger than an archive's bound has an archive
+of its own, and must fit into memory. Columns other than id, url and html are left out; their
+names do not matter.
 """
 
 from __future__ import annotations
@@ -25,6 +30,7 @@ import zlib
 from urllib.parse import quote
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +41,10 @@ BLOCK_LINES = 3000
 SHARD_LINES = 100_000
 #: First and last keys of shards are held by the driver.
 MAX_SHARDS = 100_000
-RECORDS_PER_FILE = 1000
+#: An archive ends with the record that reaches one of these.
+ARCHIVE_RECORDS, ARCHIVE_BYTES = 1000, 32 << 20
+#: Archives that a lookup names to Spark one by one, and ranges that are broadcast (16 bytes each).
+NAMED_ARCHIVES, NAMED_RANGES = 10_000, 1_000_000
 DATE = "2000-01-01T00:00:00Z"
 _CHUNK = 1 << 16
 _PAGE = "urn:x-page:"
@@ -121,7 +130,7 @@ def members(raw: bytes):
 
 
 def write_archives(pages: DataFrame, folder: str, date: str = DATE) -> None:
-    """Write a record for every page to files of ``RECORDS_PER_FILE`` records."""
+    """Write a record for every page to archives of bounded bytes and records."""
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url").cast("string").alias("url"),
@@ -141,10 +150,19 @@ def write_archives(pages: DataFrame, folder: str, date: str = DATE) -> None:
     )
 
     def build(batches):
+        task, nth, n, size = TaskContext.get().partitionId(), 0, 0, 0
         for batch in batches:
             columns = (batch[c].to_pylist() for c in ("page_id", "url", "html", "refers_to"))
-            out = [record(p, u, h.encode(), r, date) for p, u, h, r in zip(*columns)]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
+            out, names = [], []
+            for page_id, url, html, refers_to in zip(*columns):
+                out.append(record(page_id, url, html.encode(), refers_to, date))
+                names.append(f"w{task}-{nth}")
+                n, size = n + 1, size + len(out[-1])
+                if n >= ARCHIVE_RECORDS or size >= ARCHIVE_BYTES:
+                    nth, n, size = nth + 1, 0, 0
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out, pa.binary()), pa.array(names, pa.string())], ["value", "archive"]
+            )
 
     # By the page, which is seldom repeated, so that the texts of a payload do not meet.
     told = rows.join(
@@ -152,15 +170,17 @@ def write_archives(pages: DataFrame, folder: str, date: str = DATE) -> None:
         F.col("page_id").eqNullSafe(F.col("later")) & (F.sha1("html") == F.col("same")),
         "left",
     ).select("page_id", "url", "html", "refers_to")
-    records = told.mapInArrow(build, "value binary").select(F.col("value").cast("string"))
+    records = told.mapInArrow(build, "value binary, archive string")
     # Written byte for byte; the zero byte after each member is padding to gzip readers.
-    writer = records.write.option("lineSep", "\0").option("maxRecordsPerFile", RECORDS_PER_FILE)
-    writer.text(folder)
+    records = records.select(F.col("value").cast("string"), "archive")
+    records.write.option("lineSep", "\0").partitionBy("archive").text(folder)
 
 
 def _files(spark: SparkSession, folder: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
+    if "archive" not in files.columns:  # without archives Spark finds no column for their names
+        files = files.where("false").withColumn("archive", F.lit(""))
+    return files.select("archive", "content")
 
 
 def captures(spark: SparkSession, folder: str) -> DataFrame:
@@ -168,7 +188,7 @@ def captures(spark: SparkSession, folder: str) -> DataFrame:
 
     def scan(batches):
         for batch in batches:
-            for name, raw in zip(batch["file"].to_pylist(), batch["content"].to_pylist()):
+            for name, raw in zip(batch["archive"].to_pylist(), batch["content"].to_pylist()):
                 rows = []
                 for offset, size, text in members(raw):
                     head = text[: text.index(b"\r\n\r\n")].decode()
@@ -179,10 +199,10 @@ def captures(spark: SparkSession, folder: str) -> DataFrame:
                 kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, kinds)],
-                    ["key", "page_id", "file", "place", "size"],
+                    ["key", "page_id", "archive", "place", "size"],
                 )
 
-    schema = "key string, page_id long, file string, place long, size long"
+    schema = "key string, page_id long, archive string, place long, size long"
     return _files(spark, folder).mapInArrow(scan, schema)
 
 
@@ -190,9 +210,9 @@ def build_index(found: DataFrame) -> DataFrame:
     """Compressed blocks of sorted captures, with the first and last key of each."""
     n = min(MAX_SHARDS, max(1, math.ceil(found.count() / SHARD_LINES)))
     n = max(n, min(MAX_SHARDS, int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    rows = found.repartitionByRange(n, "key", "page_id", "file", "place")
+    rows = found.repartitionByRange(n, "key", "page_id", "archive", "place")
     rows = rows.withColumn("shard", F.spark_partition_id())
-    rows = rows.sortWithinPartitions("key", "page_id", "file", "place")
+    rows = rows.sortWithinPartitions("key", "page_id", "archive", "place")
 
     def pack(batches):
         held, shard = [], 0
@@ -202,7 +222,7 @@ def build_index(found: DataFrame) -> DataFrame:
                     yield _block(shard, held)
                     held = []
                 shard = row["shard"]
-                held.append((row["key"], row["file"], row["place"], row["size"]))
+                held.append((row["key"], row["archive"], row["place"], row["size"]))
         if held:
             yield _block(shard, held)
 
@@ -225,7 +245,7 @@ def _block(shard: int, held: list[tuple]) -> pa.RecordBatch:
 
 
 def lookup(index: DataFrame, urls: DataFrame, url_col: str = "url") -> DataFrame:
-    """Files, offsets and lengths of all captures of the given URLs."""
+    """Archives, offsets and lengths of all captures of the given URLs."""
     ends = index.groupBy("shard").agg(F.min("first_key"), F.max("last_key")).orderBy("shard")
     shards = [tuple(r) for r in ends.collect()]
     firsts, lasts = [s[1] for s in shards], [s[2] for s in shards]
@@ -258,14 +278,14 @@ def lookup(index: DataFrame, urls: DataFrame, url_col: str = "url") -> DataFrame
                 out += lines[bisect.bisect_left(keys, key) : bisect.bisect_right(keys, key)]
         return pa.table(
             {
-                "file": pa.array([r[1] for r in out], pa.string()),
+                "archive": pa.array([r[1] for r in out], pa.string()),
                 "place": pa.array([int(r[2]) for r in out], pa.int64()),
                 "size": pa.array([int(r[3]) for r in out], pa.int64()),
             }
         )
 
     both = asked.groupBy("shard").cogroup(index.groupBy("shard"))
-    return both.applyInArrow(search, "file string, place long, size long")
+    return both.applyInArrow(search, "archive string, place long, size long")
 
 
 def _open(block: bytes) -> tuple[list[str], list[list[str]]]:
@@ -273,40 +293,67 @@ def _open(block: bytes) -> tuple[list[str], list[list[str]]]:
     return [line[0] for line in lines], lines
 
 
+_FOUND = (
+    "page_id long, payload_bytes long, payload_digest string, record_type string, "
+    "refers_to long, url string, payload string"
+)
+
+
+def _cut(raw: bytes, places: list[int], sizes: list[int]) -> pa.RecordBatch:
+    """The records at some ranges of an archive, their payload digests worked out again."""
+    rows = []
+    for place, size in zip(places, sizes):
+        fields = parse(zlib.decompress(raw[place : place + size], 31))
+        kind, said = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha1:")
+        if kind == "response" and digest(fields["payload"]) != said:
+            raise ValueError(f"payload of {fields['WARC-Record-ID']} is damaged")
+        payload = fields["payload"].decode() if kind == "response" else None
+        rows.append(
+            (
+                _page(fields["WARC-Record-ID"]),
+                fields["payload_bytes"],
+                said,
+                kind,
+                _page(fields.get("WARC-Refers-To")),
+                fields.get("WARC-Target-URI"),
+                payload,
+            )
+        )
+    columns = list(zip(*rows)) or [[]] * 7
+    names = [field.split(" ")[0] for field in _FOUND.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+
 def fetch(spark: SparkSession, folder: str, ranges: DataFrame) -> DataFrame:
-    """The records at the given ranges, their payload digests worked out again."""
-
-    def read(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = []
-        for raw in right["content"].to_pylist():
-            for place, size in zip(left["place"].to_pylist(), left["size"].to_pylist()):
-                fields = parse(zlib.decompress(raw[place : place + size], 31))
-                kind, said = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha1:")
-                if kind == "response" and digest(fields["payload"]) != said:
-                    raise ValueError(f"payload of {fields['WARC-Record-ID']} is damaged")
-                payload = fields["payload"].decode() if kind == "response" else None
-                rows.append(
-                    (
-                        _page(fields["WARC-Record-ID"]),
-                        fields["payload_bytes"],
-                        said,
-                        kind,
-                        _page(fields.get("WARC-Refers-To")),
-                        fields.get("WARC-Target-URI"),
-                        payload,
-                    )
-                )
-        columns = list(zip(*rows)) or [[]] * 7
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()]
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
-
-    names = "page_id payload_bytes payload_digest record_type refers_to url payload".split()
-    schema = (
-        "page_id long, payload_bytes long, payload_digest string, record_type string, "
-        "refers_to long, url string, payload string"
-    )
-    both = ranges.groupBy("file").cogroup(_files(spark, folder).groupBy("file"))
-    return both.applyInArrow(read, schema)
+    """The records at the given ranges."""
+    ranges = keep(ranges, "ranges")
+    n_ranges, n_archives = ranges.agg(F.count(F.lit(1)), F.count_distinct("archive")).first()
+    files = _files(spark, folder)
+    if n_archives <= NAMED_ARCHIVES:
+        names = [row["archive"] for row in ranges.select("archive").distinct().collect()]
+        files = files.where(F.col("archive").isin(names))
+    if n_ranges > NAMED_RANGES:
+        both = ranges.groupBy("archive").cogroup(files.groupBy("archive"))
+        return both.applyInArrow(_cut_group, _FOUND)
+
+    def cut(batches):
+        for batch in batches:
+            for raw, places, sizes in zip(*(batch[c] for c in ("content", "places", "sizes"))):
+                yield _cut(raw.as_py(), places.as_py(), sizes.as_py())
+
+    # At most NAMED_RANGES pairs of numbers; archives are read where they lie.
+    spots = F.sort_array(F.collect_list(F.struct("place", "size")))
+    by_archive = ranges.groupBy("archive").agg(spots.alias("spots"))
+    told = files.join(F.broadcast(by_archive), "archive")
+    cuts = told.select("content", F.col("spots.place").alias("places"), F.col("spots.size").alias("sizes"))
+    return cuts.mapInArrow(cut, _FOUND)
+
+
+def _cut_group(left: pa.Table, right: pa.Table) -> pa.Table:
+    places, sizes = left["place"].to_pylist(), left["size"].to_pylist()
+    cuts = [_cut(raw.as_py(), places, sizes) for raw in right["content"]]
+    return pa.Table.from_batches(cuts or [_cut(b"", [], [])])
 
 
 def archive_and_read(pages: DataFrame) -> DataFrame:
