@@ -115,3 +115,51 @@ def test_deep_pages_keep_their_text(spark):
     rows = [(1, "http://a.b/1", "<div>" * 3000 + "x"), (2, "http://a.b/2", "<b>" * 3000 + "y")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert {r.page_id: r.text for r in wrappers.extract_main_text(pages).collect()} == {1: "x", 2: "y"}
+
+
+def test_per_page_classes_do_not_part_what_is_aligned(spark):
+    line = "<div class='x-{i}'><p>Printed on every page</div>"
+    page = f"<body class='postid-{{i}} {{name}}'>{line}<h2 id=t{{i}}>Head {{i}}</h2><div><p>Text {{i}}<p>More {{i}}</div>"
+    names = "ant bee cat dog eel fox gnu hen ibis jay koi lynx".split()
+    got = _texts(spark, [(i, "http://a.org/", page.format(i=i, name=names[i])) for i in range(12)])
+    assert got == {i: f"Head {i}\nText {i}\nMore {i}" for i in range(12)}
+
+
+def test_main_parts_are_a_hint(spark):
+    title = "<h1>Title {i}</h1><div>Side {i}</div><article><p>Story {i} that goes on</p><p>Shared words</p></article>"
+    beside = "<article><p>Teaser {i}</article><div><h1>Head</h1><p>" + "Story {i} goes on and on. " * 5 + "</div>"
+    pages = [(k + i, f"http://{h}.org/", x.format(i=i)) for k, h, x in ((0, "a", title), (10, "b", beside)) for i in range(2)]
+    got = _texts(spark, pages)
+    for i in range(2):
+        # Two pages are no evidence against what stands in both of their articles.
+        assert got[i] == f"Title {i}\nStory {i} that goes on\nShared words"
+        assert got[10 + i].endswith(("Story %d goes on and on. " % i * 5).strip())
+
+
+def test_long_texts_repeated_rows_and_clashing_names(spark):
+    long = "<article><p>" + "many words " * 100_000 + "</article>"
+    rows = [(1, "http://a.org/", long, "x", 5)] * 2 + [(2, "http://a.org/", "", "x", 5), (2, "http://a.org/", None, "x", 5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, host long")
+    got = sorted((r.page_id, r.text, r.n_chars) for r in wrappers.extract_main_text(pages).collect())
+    text = ("many words " * 100_000).strip()
+    assert got == [(1, text, len(text))] * 2 + [(2, "", 0)] * 2
+
+
+def test_unmarked_templates_are_learned(spark):
+    """The given articles in templates without a name or element that tells them."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    pages, expected = [], {}
+    for r in rows:
+        host = re.match(r"\w+://([^/]*)", r.url)[1]
+        lines = plain(r.html).split("\n")
+        story = "".join(f"<p>{html.escape(x)}</p>" for x in lines)
+        page = f"<div><p>Start at {host}</p><p>Contact</p></div><div><p>Before you read</p>{story}</div><div>Owned by {host}</div>"
+        pages.append((r.page_id, r.url, f"<body class=p{r.page_id}>{page}</body>"))
+        expected[r.page_id] = "\n".join(lines)
+    got = _texts(spark, pages)
+    hosts = [re.match(r"\w+://([^/]*)", u)[1] for _, u, _ in pages]
+    compared = {i for (i, _, _), h in zip(pages, hosts) if hosts.count(h) > 1}
+    right = {i for i in compared if got[i] == expected[i]}
+    alone = {i for i, _, page in pages if i in compared and wrappers.main_text(page, None) == expected[i]}
+    print(len(compared), len(right), len(alone))
+    assert len(compared) > 200 and not alone and len(right) >= 0.95 * len(compared)

@@ -4,7 +4,8 @@ A page becomes a tree of its block elements; inline elements are part of their b
 like siblings in a row are one repeated node. The trees of a host's pages are aligned by
 simple tree matching and merged: every task merges its own pages first, and only one small
 tree per host and task is shuffled, so a host may have any number of pages. Nodes that are
-aligned have the same elements above them, so blocks are compared under that path: a block is
+aligned have the same elements above them, so blocks are compared under that path of elements,
+whose classes and ids may differ from page to page: a block is
 template if the same text stands there on nearly all different pages of the host, which are
 counted; copies of a page count once. All other blocks are content.
 A page is then aligned with its host's wrapper, and the text of content slots is kept, without
@@ -14,15 +15,23 @@ and comments, which vary from page to page too and are told by element and class
 A class, id or role tells such a part only by a whole word (``sidebar``) or one with agreed
 words around it (``user-comments``); ``has-sidebar`` and ``long-form`` tell nothing. Names never
 count on html, body, main and article, nor on what holds all main parts of a page, nor on a
-node whose varying text is more than half of all that its host's wrapper has.
+node whose varying text is more than half of all that its host's wrapper has. Digits are no part
+of a class or id, so numbers of posts and slots do not part what is aligned.
+
+Main parts (``article``, ``main``) are a hint. Where they hold at least half of a page's text that
+is neither template nor told above, other text goes, but for its ``h1`` if they have none; where
+they hold less, they are teasers beside the story, and all such text is kept.
 
 Blocks of any length, several of one element and those of like siblings are all compared, from
 two different pages of a host on. Below ``MIN_PAGES`` different pages, a page that shares more
-than half of its text with nearly all others is taken for their near copy and keeps that text.
+than half of its text with nearly all others is taken for their near copy and keeps that text,
+and main parts keep what they share.
 
 Defined results: a null html is empty; a null url has a host of its own kind, ''. Where all
 pages of a host are alike, nothing counts as template by its
-text alone. Cut-off markup at the end is dropped. Tables without rows give none.
+text alone. Cut-off markup at the end is dropped. Tables without rows give none. Pages of any
+length and depth are read whole. Rows of one id stay apart; columns other than id, url and html
+are left out, whatever their names.
 """
 
 from __future__ import annotations
@@ -84,6 +93,8 @@ _TAG = re.compile(
 )
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 VARIES = "*"
+#: Where content may stand: beside main parts or in them.
+BESIDE, MAIN_PART = 1, 2
 #: Levels of a tree; elements further inside are put beside one another.
 DEPTH = 150
 
@@ -103,16 +114,17 @@ class Node:
             label = above.label
         self.home = above.home if deep else above
         self.depth = self.home.depth + 1 if self.home else 0
-        self.label, self.path = label, f"{self.home.path if self.home else ''}/{label}"
+        self.label, self.path = label, f"{self.home.path if self.home else ''}/{name}"
         if self.home:
             self.home.children.append(self)
 
 
 def _label(name: str, rest: str) -> str:
-    if "=" not in rest:
+    """An element with its classes, ids and roles without digits, which are the page's own."""
+    if "=" not in rest or name in NEVER_NAMED:
         return name
-    words = sorted({w for v in _NAMES.findall(rest) for w in v.strip("\"'").lower().split()})
-    return ".".join([name, *words])
+    words = {w for v in _NAMES.findall(rest) for w in v.strip("\"'").lower().split()}
+    return ".".join([name, *sorted({re.sub(r"[-_]*\d+", "", w) for w in words} - {""})])
 
 
 def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
@@ -290,8 +302,11 @@ def _mains(node: list, named: bool, skip: set[int], out: list) -> bool:
 
 
 @lru_cache(maxsize=4096)
-def content_slots(wrapper: str, shape: str) -> tuple[bool, ...]:
-    """For every node of a page's shape, in document order: may it hold content?"""
+def content_slots(wrapper: str, shape: str) -> tuple[int, ...]:
+    """For every node of a page's shape, in document order, whether it may hold content.
+
+    That is ``MAIN_PART`` in main parts, or anywhere if there are none, and ``BESIDE`` elsewhere.
+    """
     tree, page = json.loads(wrapper), json.loads(shape)
     sums: dict[int, int] = {}
     total = varying(tree, sums)
@@ -309,7 +324,7 @@ def content_slots(wrapper: str, shape: str) -> tuple[bool, ...]:
     inside_main = not _mains(page, False, bulk, mains)
     # Where all main parts stand below names, these names do not count.
     free = all(mains)
-    out: list[bool] = []
+    out: list[int] = []
 
     def walk(node: list, ok: bool, main: bool) -> None:
         name = node[0].split(".")[0]
@@ -318,7 +333,7 @@ def content_slots(wrapper: str, shape: str) -> tuple[bool, ...]:
             told = not _mains(node, False, set(), [])
         ok = ok and name not in NO_CONTENT and not told
         main = main or name in MAIN
-        out.append(ok and main)
+        out.append((MAIN_PART if main else BESIDE) if ok else 0)
         for child in node[2]:
             walk(child, ok, main)
 
@@ -331,13 +346,13 @@ def main_text(
 ) -> str:
     """Blocks in content slots but the ``fixed``; without a wrapper the page is its own.
 
-    Unless ``sure``, fixed blocks stay where they are more than half of the text.
+    Unless ``sure``, fixed blocks stay in main parts and where they are more than half of the text.
     """
     root, blocks = parse(page)
     shape = skeleton(root)
     bare = json.dumps(_bare(shape))
     flags = content_slots(wrapper or bare, bare)
-    wanted: dict[int, bool] = {}
+    wanted: dict[int, int] = {}
     spot = 0
 
     def walk(nodes: list[Node]) -> None:
@@ -351,11 +366,19 @@ def main_text(
 
     walk([root])
     keys = block_keys(blocks) if fixed else [0] * len(blocks)
-    held = [(words, k in fixed) for (node, words), k in zip(blocks, keys) if wanted[id(node)]]
-    same = sum(len(words) for words, f in held if f)
-    if not sure and 2 * same > sum(len(words) for words, _ in held):
-        return "\n".join(words for words, _ in held)
-    return "\n".join(words for words, f in held if not f)
+    held = []
+    for (node, words), key in zip(blocks, keys):
+        same = key in fixed and (sure or MAIN.isdisjoint(node.path.split("/")))
+        if wanted[id(node)]:
+            held.append((node, words, wanted[id(node)], same))
+    chars = sum(len(words) for _, words, _, _ in held)
+    if sure or 2 * sum(len(words) for _, words, _, same in held if same) <= chars:
+        held = [h for h in held if not h[3]]
+    inside = [h for h in held if h[2] == MAIN_PART]
+    if 2 * sum(len(h[1]) for h in inside) >= sum(len(h[1]) for h in held):
+        titled = any(node.name == "h1" for node, *_ in inside)
+        held = [h for h in held if h[2] == MAIN_PART or not titled and h[0].name == "h1"]
+    return "\n".join(words for _, words, _, _ in held)
 
 
 def _bare(node: list) -> list:
