@@ -1,7 +1,9 @@
 """Settings, shuffle sizes and work folders."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from tripstrata.fixtures import trips
 from tripstrata.sources import workspace
 from tripstrata.sources.session import (
     MAX_SHUFFLE_PARTITIONS,
@@ -13,6 +15,7 @@ from tripstrata.sources.session import (
     size_for,
     spread_small_scan,
 )
+from tripstrata.sources.topic import write_topic
 
 STORE = ("lake", "http://catalog", "s3://bucket/", "http://store")
 SPLIT = "spark.sql.files.maxPartitionBytes"
@@ -114,3 +117,41 @@ def test_a_job_session_leaves_the_caller_as_it_was(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
         spark.catalog.dropTempView("kept")
+
+
+def test_jobs_write_smaller_parquet(spark, tmp_path):
+    """Unless the caller names a codec, what jobs and topics write takes zstd."""
+    name = "spark.sql.parquet.compression.codec"
+    assert job_session(spark).conf.get(name) == "zstd"
+    text = F.to_json(F.struct(F.col("id"), (F.col("id") * 7919 % 1000).alias("fare"), F.lit("N").alias("flag")))
+    rows = spark.range(0, 50_000, 1, 1).select(text.cast("binary").alias("value"))
+    write_topic(rows, f"{tmp_path}/zstd")
+    write_topic(rows, f"{tmp_path}/snappy", options={"compression": "snappy"})
+    assert all(".zstd." in f for f in spark.read.parquet(f"{tmp_path}/zstd").inputFiles())
+    sizes = [
+        spark.read.parquet(f"{tmp_path}/{c}").select("_metadata.file_size").first()[0] for c in ("zstd", "snappy")
+    ]
+    assert sizes[0] < sizes[1]
+    spark.conf.set(name, "gzip")
+    try:
+        assert job_session(spark).conf.get(name) == "gzip"
+    finally:
+        spark.conf.unset(name)
+    assert spark.conf.get(name, None) is None
+
+
+def test_copies_of_trips_read_their_orders_only(spark, tmp_path):
+    """The rows that are no copies do not get to the joins."""
+    tables = {
+        "lineitem": "id l_orderkey, 1 l_linenumber, id l_partkey, 1 l_suppkey, 4d l_quantity, 2d l_extendedprice, 1d l_discount",
+        "orders": "id o_orderkey, 1 o_custkey, timestamp'2025-01-01' o_orderdate",
+        "customer": "1 c_custkey, 1 c_nationkey",
+        "supplier": "1 s_suppkey, 2 s_nationkey",
+    }
+    for name, columns in tables.items():
+        rows = spark.range(30 if "id" in columns.split() else 1)
+        rows.selectExpr(*columns.split(", ")).write.parquet(f"{tmp_path}/{name}.parquet")
+    copies = trips(spark, str(tmp_path), "copies")
+    plan = copies._jdf.queryExecution().optimizedPlan().toString()
+    assert "% 10" in plan and "% 10" not in plan.split("Join")[0]
+    assert [trips(spark, str(tmp_path), part).count() for part in ("base", "copies", "all")] == [30, 3, 33]
