@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -66,6 +67,32 @@ def test_queries_equal_the_library(spark):
         assert sorted(map(tuple, queries.QUERIES[name](spark, SF).collect())) == expected
 
 
+def test_memory_of_encoding_is_bounded_and_goes_before_writing(monkeypatch):
+    monkeypatch.setattr(tokenfile, "REMEMBERED", 100)
+    mine = tokenfile.word_encoder(WORD)
+    for n in range(200):
+        mine.encode(f"w{n}a w{n}b")
+    assert len(mine.words) <= 106
+    taken = []
+    monkeypatch.setattr(bpe, "CHUNK_CHARS", 40)
+    parts = bpe.small_parts
+
+    def counted(batch, column):
+        for part in parts(batch, column):
+            taken.append(len(part))
+            yield part
+
+    monkeypatch.setattr(tokenfile, "small_parts", counted)
+    rows = [np.array([n, 1], "<u4") for n in range(30)]
+    planes = [r.view(np.uint8).reshape(-1, 4).T.tobytes() for r in rows]
+    batch = pa.RecordBatch.from_pydict({"shard": [0] * 30, "doc_id": [*range(30)], "planes": planes})
+    files = [tokenfile.Segment(b["value"][0].as_py()) for b in tokenfile._segments([batch], 20)]
+    assert tokenfile.word_encoder.cache_info().currsize == 0
+    assert sum(taken) == 30 and max(taken) < 10
+    assert [len(f.ends) for f in files] == [10, 10, 10]
+    assert np.concatenate([f.all() for f in files]).tolist() == np.concatenate(rows).tolist()
+
+
 def test_nulls_ties_and_no_rows(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(tokenfile, "SHARD_BYTES", 8)
     monkeypatch.setattr(tokenfile, "SEGMENT_IDS", 4)

@@ -36,7 +36,8 @@ RANK_BITS = 512
 SEGMENT_IDS = 1 << 21
 #: Bytes of text for one shard, about, and the most shards: their bounds are on the driver.
 SHARD_BYTES, MAX_SHARDS = 16 << 20, 10_000
-REMEMBERED = 800_000
+#: Words that a process remembers, some 120 bytes each.
+REMEMBERED = 500_000
 NULL_ID = np.iinfo(np.int64).min
 
 # The tokenizer's pattern for lower-case texts of Latin-1 letters.
@@ -240,21 +241,7 @@ def write_tokens(
     rows = rows.sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), "planes")
 
     def run(batches):
-        shard, number, ids, held, size = None, 0, [], [], 0
-        for batch in batches:
-            for s, d, raw in zip(*(batch[c].to_pylist() for c in ("shard", "doc_id", "planes"))):
-                planes = np.frombuffer(raw, np.uint8).reshape(4, -1)
-                row = np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
-                if held and (s != shard or size + len(row) > SEGMENT_IDS):
-                    yield _written(segment(shard, number, ids, held))
-                    number, ids, held, size = number + 1, [], [], 0
-                if s != shard:
-                    shard, number = s, 0
-                ids.append(NULL_ID if d is None else d)
-                held.append(row)
-                size += len(row)
-        if held:
-            yield _written(segment(shard, number, ids, held))
+        yield from _segments(batches, SEGMENT_IDS)
 
     # Text is written byte for byte, so it carries any bytes; one row is one file, and the
     # line's end after it is no part of the segment.
@@ -262,6 +249,27 @@ def write_tokens(
     files.write.option("maxRecordsPerFile", 1).text(folder)
 
 
+def _segments(batches, most_ids: int):
+    """Files of sorted rows. Rows are taken a few at a time, and what the task's process keeps
+    of the encoding, which is over by now, goes first."""
+    word_encoder.cache_clear()
+    shard, number, ids, held, size = None, 0, [], [], 0
+    for part in (part for batch in batches for part in small_parts(batch, "planes")):
+        for s, d, raw in zip(*(part[c].to_pylist() for c in ("shard", "doc_id", "planes"))):
+            planes = np.frombuffer(raw, np.uint8).reshape(4, -1)
+            row = np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
+            if held and (s != shard or size + len(row) > most_ids):
+                yield _written(segment(shard, number, ids, held))
+                number, ids, held, size = number + 1, [], [], 0
+            if s != shard:
+                shard, number = s, 0
+            ids.append(NULL_ID if d is None else d)
+            held.append(row)
+            size += len(row)
+    if held:
+        yield _written(segment(shard, number, ids, held))
+
+
 def _written(raw: bytes) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([raw], pa.binary())], ["value"])
 
