@@ -1,7 +1,10 @@
 """Benchmark items planted in texts, exactly and with exchanged slots."""
 
+import random
 import re
 
+from pyspark.sql import functions as F
+
 from tripstrata.llm import decontam, queries
 
 ITEM = "A train with Anna leaves Berlin at 9 and runs 80 km until Anna meets Bob after 80 km of track"
@@ -105,3 +108,26 @@ def test_items_of_few_words_are_told_apart(spark):
     assert decontam.find_leaks(docs, items, kinds=decontam.KINDS[:4]).count() == 0
     told = decontam.find_leaks(docs, items, kinds=decontam.KINDS).collect()
     assert {(r.item_id, r.kind) for r in told} == {(1, "short"), (2, "short")} and len(told) == 40
+
+
+def test_windows_hash_as_their_slices_without_one(spark):
+    rows = spark.createDataFrame([(["a", "b", "c", "d"],), (["a"],), ([],), (None,), (["é", "", "x"],)], "w array<string>")
+    for n in (1, 2, 3):
+        found = rows.select("w", decontam.window_hashes(F.col("w"), n, F.lit("tag")).alias("h"))
+        assert "slice(" not in found._jdf.queryExecution().optimizedPlan().toString()
+        at = F.sequence(F.lit(1), F.size("w") - (n - 1))
+        plain = F.transform(at, lambda i: F.xxhash64(F.slice("w", i, n), F.lit("tag")))
+        plain = F.when(F.size("w") >= n, plain)
+        assert found.where(~F.col("h").eqNullSafe(plain)).count() == 0
+
+
+def test_patterns_cut_words_as_the_plain_ones(spark):
+    pick = random.Random(4)
+    signs = [*"aAÉß𐐀 .,;:!?\"'()[]09-$%/ \t\n\r\x0b\x85  <=>", "<name>=", " kg ", "5 ", ". "]
+    texts = [("".join(pick.choice(signs) for _ in range(pick.randint(0, 40))),) for _ in range(4000)]
+    mark = r"[.,;:!?\"'()\[\]]+"
+    plain = F.regexp_replace("text", r"[ \t\n\x0B\f\r]+", " ")
+    plain = F.regexp_replace(plain, rf"(?:^|(?<= )){mark}|{mark}(?= |$)", "")
+    plain = F.filter(F.split(F.lower(plain), " +"), lambda w: w != "")
+    rows = spark.createDataFrame(texts, "text string")
+    assert rows.where(~decontam.words_of(F.col("text")).eqNullSafe(plain)).count() == 0

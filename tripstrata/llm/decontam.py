@@ -49,7 +49,11 @@ UNITS = (
 PLACEHOLDERS = "(<(?:number|unit|name)>)"
 #: Words by which distances may differ: so many, and one for each so many of the item.
 DRIFT, DRIFT_EACH = 4, 10
-_OUTER = r"[.,;:!?\"'()\[\]]+"
+# Patterns begin with what few places of a text have, as Java tries them at every place: white
+# space that is not one space; punctuation, and only then whether it begins or ends a word.
+_SPACE = r" [ \t\n\x0B\f\r]+|[\t\n\x0B\f\r][ \t\n\x0B\f\r]*"
+_MARK = r"[.,;:!?\"'()\[\]]"
+_OUTER = rf"{_MARK}(?:(?<=^.| .){_MARK}*|{_MARK}*(?= |$))"
 
 
 def _run(kind: str) -> tuple[str, str]:
@@ -60,10 +64,10 @@ def _run(kind: str) -> tuple[str, str]:
 def valued(text: Column) -> Column:
     """Templates of all words, one space between, placeholders with their values behind ``=``."""
     steps = [
-        (r"[ \t\n\x0B\f\r]+", " "),
-        (r"(?<=[^ .!?:] )\p{Lu}[^ ]*", "<name>=$0"),
-        (rf"(?:^|(?<= )){_OUTER}|{_OUTER}(?= |$)", ""),
-        (r"(?:^|(?<= ))[-+$€£]?[0-9][0-9.,:/]*%?(?= |$)", "<number>=$0"),
+        (_SPACE, " "),
+        (r"(?=\p{Lu})(?<=[^ .!?:] )\p{Lu}[^ ]*", "<name>=$0"),
+        (_OUTER, ""),
+        (r"(?=[-+$€£0-9])(?:^|(?<= ))[-+$€£]?[0-9][0-9.,:/]*%?(?= |$)", "<number>=$0"),
         _run("name"),
         _run("number"),
         (rf"(<number>=[^ ]+ )({'|'.join(UNITS)})(?= |$)", "$1<unit>=$2"),
@@ -89,8 +93,8 @@ def slots_of(text: Column) -> Column:
 
 def words_of(text: Column) -> Column:
     """A text's words in lower case, without outer punctuation."""
-    out = F.regexp_replace(F.coalesce(text, F.lit("")), r"[ \t\n\x0B\f\r]+", " ")
-    out = F.regexp_replace(out, rf"(?:^|(?<= )){_OUTER}|{_OUTER}(?= |$)", "")
+    out = F.regexp_replace(F.coalesce(text, F.lit("")), _SPACE, " ")
+    out = F.regexp_replace(out, _OUTER, "")
     return F.filter(F.split(F.lower(out), " +"), lambda w: w != "")
 
 
@@ -101,8 +105,9 @@ def window_hashes(words: Column, window: int, *tag: Column) -> Column:
         lambda f: F.when(
             F.size(f) >= window,
             F.transform(
-                F.sequence(F.lit(1), F.size(f) - (window - 1)),
-                lambda i: F.xxhash64(F.slice(f, i, window), *tag),
+                F.sequence(F.lit(0), F.size(f) - window),
+                # As the hash of their slice, which is an array less for every window.
+                lambda i: F.xxhash64(*(F.get(f, i + k) for k in range(window)), *tag),
             ),
         ),
     )
