@@ -4,6 +4,7 @@ import hashlib
 import random
 
 from tests.llm.patterns import paired
+from tripstrata.llm import blocks
 from tripstrata.llm import suffixes
 
 
@@ -66,3 +67,9 @@ def test_texts_that_weak_hashes_confuse(spark):
     done = suffixes.remove_repeated_bytes(docs)
     got = done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
     assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+
+
+def test_kept_tables_take_zstd(spark):
+    rows = spark.range(20).selectExpr("id doc_id", "'some text' text")
+    for table in (blocks.store(rows, 2), blocks.keep(rows, "rows")):
+        assert table.count() == 20 and all(".zstd." in f for f in table.inputFiles())

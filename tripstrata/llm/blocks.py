@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tripstrata.sources.session import CODEC
 from tripstrata.sources.workspace import new_folder
 
 BLOCK_BYTES = 4 << 20
@@ -48,7 +49,7 @@ def store(docs: DataFrame, blocks: int) -> DataFrame:
         "block", F.pmod(F.xxhash64("row_id"), F.lit(blocks))
     )
     rows = rows.repartition(width, "block")
-    rows.write.bucketBy(width, "block").sortBy("block").option("path", folder).saveAsTable(name)
+    rows.write.option("compression", CODEC).bucketBy(width, "block").sortBy("block").option("path", folder).saveAsTable(name)
     table = spark.table(name)
     # The catalog forgets the table at once; its files stay, and the plan keeps their layout.
     spark.sql(f"DROP TABLE {name}")
@@ -65,7 +66,7 @@ def other_columns(docs: DataFrame, *own: str) -> Column:
 def keep(rows: DataFrame, name: str) -> DataFrame:
     """Rows written to the shared folder and read back: no later job makes them again."""
     path = new_folder(rows.sparkSession, name)
-    rows.write.parquet(path)
+    rows.write.option("compression", CODEC).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
