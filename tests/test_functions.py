@@ -130,6 +130,21 @@ def test_parse_event(spark, text, expected):
     assert tuple(row) == expected
 
 
+def test_parse_event_of_named_fields(spark):
+    texts = [
+        '{"VendorID": 1, "fare_amount": 2.5, "PULocationID": 3, "tip_amount": 1}',
+        '{"VendorID": "x", "fare_amount": "1.5", "PULocationID": 4, "tip_amount": "no"}',
+        '{"fare_amount": NaN, "more": {"VendorID": 9}, "VendorID": 2, "tip_amount": {}}',
+        '{"VendorID": 1, "fare_amount": 2.5, "tip_amount": ', "[1]", "x", "", "{}", None,
+    ]
+    names = ("VendorID", "PULocationID", "fare_amount")
+    rows = spark.createDataFrame([(t,) for t in texts], "value string")
+    few, whole = (rows.select(parse_event(F.col("value"), *of).alias("d")) for of in (names, ()))
+    assert few.schema["d"].dataType.names == list(names)
+    got, want = ([tuple(r) for r in d.select(*(f"d.{n}" for n in names)).collect()] for d in (few, whole))
+    assert str(got) == str(want) and got[0] == (1, 3, 2.5) and got[1] == (None, 4, None)
+
+
 def test_parse_event_reads_a_bare_nan(spark):
     frame = spark.createDataFrame([(bytearray(b'{"VendorID":1,"passenger_count":NaN}'),)], "value binary")
     row = frame.select(parse_event(F.col("value")).alias("d")).select("d.*").first()
